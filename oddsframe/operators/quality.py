@@ -82,7 +82,7 @@ def mismatch_counts(df: DataFrame, houses: Sequence[str] = HOUSE_CODES,
 
 _DIFF_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), False),
-    T.StructField("column", T.StringType(), False),
+    T.StructField("column_name", T.StringType(), False),
     T.StructField("status", T.StringType(), False),
 ])
 
@@ -110,9 +110,9 @@ def schema_difference(spark: SparkSession, columns_by_source: Mapping[str, Seque
 
 def column_profile(df: DataFrame) -> DataFrame:
     """Non-null count per column, in one aggregate pass, as long rows
-    ``(column, non_null)``."""
+    ``(column_name, non_null)``."""
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("long").alias("non_null"))
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("long").alias("non_null"))
             for c in df.columns]
     return counts.select(F.inline(F.array(*rows)))
 
@@ -120,8 +120,8 @@ def column_profile(df: DataFrame) -> DataFrame:
 def dictionary_audit(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Attach dictionary descriptions to the table's columns.
 
-    ``dictionary`` has ``(column, description)`` rows.  Output, one row per
-    column of ``df`` or of the dictionary: ``column, data_type, description,
+    ``dictionary`` has ``(column_name, description)`` rows.  Output, one row
+    per column of ``df`` or of the dictionary: ``column_name, data_type, description,
     in_table, documented, non_null``.  Both sides have one row per column, so
     the join is between two schema-sized frames; the broadcast hint is bounded
     by the dictionary's line count.
@@ -129,14 +129,14 @@ def dictionary_audit(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     spark = df.sparkSession
     types = spark.createDataFrame(
         [(f.name, f.dataType.simpleString()) for f in df.schema.fields],
-        "column string, data_type string",
+        "column_name string, data_type string",
     )
-    profile = column_profile(df).join(types, "column")
-    described = dictionary.select("column", "description").dropDuplicates(["column"])
+    profile = column_profile(df).join(types, "column_name")
+    described = dictionary.select("column_name", "description").dropDuplicates(["column_name"])
     return (
-        profile.join(F.broadcast(described), "column", "full_outer")
+        profile.join(F.broadcast(described), "column_name", "full_outer")
         .select(
-            "column",
+            "column_name",
             "data_type",
             "description",
             F.col("data_type").isNotNull().alias("in_table"),

@@ -12,12 +12,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.analysis import hit_rate, house_dispersion, match_lookup, outcome_share
 from ..operators.enrich import MARGIN_COLUMN, add_margin, decode_league, enrich, silver_columns
 from ..operators.quality import max_reconcile, mean_reconcile
-from ..schema import OUTCOMES
-from ..sources.harness import matches
+from ..operators.quality import dictionary_audit, schema_difference
+from ..schema import DOCUMENTED, OUTCOMES
+from ..session import scratch_dir, unique_name
+from ..sources import dictionary as dictionary_io
+from ..sources import leagues as league_io
+from ..sources import tables
+from ..sources.harness import matches, referee_sql
+from .layers import build_bronze, build_silver
 from .oracle import dispersion_union, fmt2, with_silver
 
 LOOKUP_HOME, LOOKUP_AWAY = "T3", "T10"
@@ -259,6 +266,179 @@ _register(
 _register("layer_scan", lambda spark, sf: silver(spark, sf), with_silver("SELECT * FROM silver"))
 
 
+# --- files and tables (S1-S5, K1-K3, C1-C5, D1-D3, P1-P3, U1, E6) ---------------
+# These queries write derived data under the shared checkpoint folder (a new
+# uniquely named folder / database per call) and return the read-back frame.
+
+DRIFT_LEAGUE = "E0"   # the league file that carries an extra Referee column
+MATCH_ID_TYPE = {"MatchId": T.LongType()}
+_SQL_TYPES = {"STRING": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz",
+              "INT": "int", "DOUBLE": "double"}
+
+
+def export_leagues(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Write the match table as raw per-league CSV folders; return them."""
+    out = scratch_dir(spark, "leagues")
+    raw = league_io.to_raw_layout(matches(spark, sf_dir))
+    drift = F.when(F.col("Div") == F.lit(DRIFT_LEAGUE), F.expr(referee_sql("MatchId")))
+    # The drift league is written with the extra column, the rest without:
+    # two partitioned writes, each a single distributed job.
+    league_io.write_league_files(
+        league_io.to_raw_layout(matches(spark, sf_dir), {"Referee": drift})
+        .where(F.col("Div") == F.lit(DRIFT_LEAGUE)), out, mode="append")
+    league_io.write_league_files(raw.where(F.col("Div") != F.lit(DRIFT_LEAGUE)), out, mode="append")
+    return league_io.league_folders(spark, out)
+
+
+def _league_of(folder: str) -> str:
+    return folder.rstrip("/").rsplit("league=", 1)[-1]
+
+
+def _csv_strings(spark: SparkSession, sf: str) -> DataFrame:
+    folders = export_leagues(spark, sf)
+    frames = [league_io.read_strings(spark, f) for f in folders]
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f, allowMissingColumns=True)
+    return union.select("MatchId", "Div", "Date", "Time", "HomeTeam", "AwayTeam",
+                        "FTHG", "FTAG", "FTR", "HTR", "Referee")
+
+
+_register(
+    "csv_roundtrip_string",
+    _csv_strings,
+    with_silver(f"""
+SELECT CAST(MatchId AS VARCHAR) AS MatchId, League AS Div,
+       strftime(DateMatch, '%d-%m-%Y') AS Date, strftime(TimeMatch, '%H:%M') AS Time,
+       HomeTeam, AwayTeam, CAST(FTHG AS VARCHAR) AS FTHG, CAST(FTAG AS VARCHAR) AS FTAG, FTR, HTR,
+       CASE WHEN League = '{DRIFT_LEAGUE}' THEN {referee_sql("MatchId")} END AS Referee
+FROM matches"""),
+)
+
+
+def _csv_typed(spark: SparkSession, sf: str) -> DataFrame:
+    folders = [f for f in export_leagues(spark, sf) if _league_of(f) != DRIFT_LEAGUE]
+    return league_io.normalise(league_io.read_typed(spark, folders, extra_types=MATCH_ID_TYPE))
+
+
+_register("csv_roundtrip_typed", _csv_typed,
+          with_silver(f"SELECT * FROM matches WHERE League <> '{DRIFT_LEAGUE}'"))
+
+
+def _flat_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    return league_io.ingest(spark, export_leagues(spark, sf), extra_types=MATCH_ID_TYPE)
+
+
+_register("flat_ingest_union", _flat_ingest, with_silver("SELECT * FROM bronze"))
+
+
+def _schema_difference(spark: SparkSession, sf: str) -> DataFrame:
+    headers = {_league_of(f): league_io.header_of(spark, f) for f in export_leagues(spark, sf)}
+    return schema_difference(spark, headers)
+
+
+_register(
+    "schema_difference",
+    _schema_difference,
+    with_silver(f"""
+SELECT DISTINCT League AS source, 'Referee' AS column_name,
+       CASE WHEN League = '{DRIFT_LEAGUE}' THEN 'extra' ELSE 'missing' END AS status
+FROM matches"""),
+)
+
+
+def _fresh_database(spark: SparkSession, prefix: str) -> str:
+    name = unique_name(prefix)
+    tables.create_database(spark, name, scratch_dir(spark, f"{name}.db"))
+    return name
+
+
+def _table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    db = _fresh_database(spark, "bronze")
+    previous = spark.catalog.currentDatabase()
+    tables.use_database(spark, db)
+    try:
+        tables.drop_table(spark, "europa")
+        tables.write_layer(bronze(spark, sf), "europa")
+    finally:
+        tables.use_database(spark, previous)
+    return tables.read_layer(spark, f"{db}.europa")
+
+
+_register("table_roundtrip", _table_roundtrip, with_silver("SELECT * FROM bronze"))
+
+
+def _ctas(spark: SparkSession, sf: str) -> DataFrame:
+    src = _fresh_database(spark, "bronze")
+    dst = _fresh_database(spark, "silver")
+    tables.write_layer(bronze(spark, sf), f"{src}.europa")
+    tables.copy_layer(spark, f"{src}.europa", f"{dst}.europa")
+    return tables.read_layer(spark, f"{dst}.europa")
+
+
+_register("ctas_layer", _ctas, with_silver("SELECT * FROM bronze"))
+
+
+def _describe(spark: SparkSession, sf: str) -> DataFrame:
+    db = _fresh_database(spark, "bronze")
+    tables.write_layer(bronze(spark, sf), f"{db}.europa")
+    return tables.describe(spark, f"{db}.europa")
+
+
+def _values(rows: list[tuple], names: str) -> str:
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "TRUE" if v else "FALSE"
+        return "'" + str(v).replace("'", "''") + "'"
+    body = ",\n  ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"(VALUES\n  {body}\n) AS t({names})"
+
+
+_register(
+    "describe_comments",
+    _describe,
+    "SELECT * FROM " + _values(
+        [(n, _SQL_TYPES[t], c) for n, t, c in DOCUMENTED] + [("MatchId", "bigint", None)],
+        "column_name, data_type, comment"),
+)
+
+
+def _layered_build(spark: SparkSession, sf: str) -> DataFrame:
+    suffix = unique_name("x")
+    build_bronze(spark, export_leagues(spark, sf), f"bronze_{suffix}.europa",
+                 scratch_dir(spark, f"bronze_{suffix}.db"), extra_types=MATCH_ID_TYPE)
+    return build_silver(spark, f"bronze_{suffix}.europa", f"silver_{suffix}.europa",
+                        scratch_dir(spark, f"silver_{suffix}.db"))
+
+
+_register("silver_layer_table", _layered_build, with_silver("SELECT * FROM silver"))
+
+
+def _column_audit(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "dictionary")
+    dictionary_io.write_dictionary(spark, path)
+    return dictionary_audit(bronze(spark, sf), dictionary_io.read_dictionary(spark, path))
+
+
+def _column_audit_sql() -> str:
+    meta = [(n, _SQL_TYPES[t], c, True, True) for n, t, c in DOCUMENTED]
+    meta.append(("MatchId", "bigint", None, True, False))
+    counts = ", ".join(f"COUNT({n}) AS {n}" for n, _, _, _, _ in meta)
+    return with_silver(f"""
+, counts AS (
+  UNPIVOT (SELECT {counts} FROM bronze) ON COLUMNS(*) INTO NAME column_name VALUE non_null
+)
+SELECT t.column_name, t.data_type, t.description, t.in_table, t.documented,
+       CAST(c.non_null AS BIGINT) AS non_null
+FROM {_values(meta, "column_name, data_type, description, in_table, documented")}
+JOIN counts c ON t.column_name = c.column_name""")
+
+
+_register("column_audit", _column_audit, _column_audit_sql())
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Favourite hit rate by league -- the headline report."""
     return QUERIES["hit_rate_abs_league"](spark, sf_dir)

@@ -6,8 +6,13 @@ statuses three full-time results.  Every other column follows from the order
 key ``k`` by fixed arithmetic rules, so the table grows with ``orders`` and
 is identical at every run.
 
-Each rule is written twice -- once as a Spark ``Column`` (the engine side)
-and once as SQL text (the DuckDB oracle side) -- from the same parameters.
+Each rule is one SQL expression that both Spark and DuckDB accept (one
+column, kick-off, needs an engine-specific spelling).  Spark evaluates them
+with ``selectExpr`` -- one parse on the JVM instead of thousands of Python
+Column calls -- and the oracle embeds the same text in a CTE.  The library
+operators under test (enrichment, reports) are *not* written this way; they
+are DataFrame-API code compared against independent SQL.
+
 Quotes sit on a 4-cent grid with five or six quoting houses, which makes a
 rounding tie in the two-decimal consensus impossible, so both engines round
 identically.
@@ -15,13 +20,10 @@ identically.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.quotes import best_quote, consensus_quote
 from ..schema import HOUSE_CODES, OUTCOMES, quote_column
 
 # Harness-only conventions (our own choice, not source data).
@@ -40,200 +42,109 @@ STAT_MODULI = {
 MARKET_HOUSES = ("B365", "P", "Max", "Avg")
 HANDICAP_SIDES = ("AHH", "AHA")
 TOTALS_SIDES = ("O25", "U25")
-PUBLISHED_BUMP = 0.04        # supplied Max/Avg exceed ours by this on even keys
+PUBLISHED_BUMP = "0.04"      # supplied Max/Avg exceed ours by this on even keys
 UNQUOTED_EVERY = 101         # k % 101 = 0: no house quotes the match
 HOUSE_GAP_EVERY = 11         # (k + i) % 11 = 0: house i skips the match
 RESULT_GAP_EVERY = 97        # k % 97 = 0: full-time result missing
+K = "o_orderkey"
 
 
 @dataclass(frozen=True)
 class _Rule:
-    """One output column: a lazy Spark expression and its SQL twin."""
-
     name: str
-    spark: Callable[[], Column]
-    sql: str
-
+    sql: str                      # accepted by both engines
+    spark_sql: str | None = None  # Spark spelling where the dialects differ
 
-def _k() -> Column:
-    return F.col("o_orderkey")
+    def spark(self) -> str:
+        return f"{self.spark_sql or self.sql} AS {self.name}"
 
+    def duck(self) -> str:
+        return f"{self.sql} AS {self.name}"
 
-def _case_map(col: Column, mapping: dict[str, str]) -> Column:
-    expr = None
-    for src, dst in mapping.items():
-        expr = F.when(col == F.lit(src), F.lit(dst)) if expr is None else expr.when(col == F.lit(src), F.lit(dst))
-    return expr
 
-
-def _case_map_sql(col: str, mapping: dict[str, str]) -> str:
+def _case_map(col: str, mapping: dict[str, str]) -> str:
     arms = " ".join(f"WHEN {col} = '{src}' THEN '{dst}'" for src, dst in mapping.items())
     return f"CASE {arms} END"
 
 
-def _quote_rule(i: int, j: int) -> _Rule:
-    def spark() -> Column:
-        k = _k()
-        return F.when(
-            ((k + i) % HOUSE_GAP_EVERY == 0) | (k % UNQUOTED_EVERY == 0), F.lit(None).cast("double")
-        ).otherwise(
-            (F.lit(112) + ((k * (37 + 8 * j) + 13 * i + 29 * j + (k % 7) * i) % 100) * 4).cast("double")
-            / F.lit(100)
-        )
-
-    sql = (
-        f"CASE WHEN (o_orderkey + {i}) % {HOUSE_GAP_EVERY} = 0 OR o_orderkey % {UNQUOTED_EVERY} = 0 "
-        f"THEN CAST(NULL AS DOUBLE) ELSE CAST(112 + (o_orderkey * {37 + 8 * j} + {13 * i + 29 * j} "
-        f"+ (o_orderkey % 7) * {i}) % 100 * 4 AS DOUBLE) / 100 END"
-    )
-    return _Rule(quote_column(HOUSE_CODES[i], OUTCOMES[j]), spark, sql)
-
-
-def _market_rule(name: str, base: int, step: int, mult: int, span: int, h: int, a: int) -> _Rule:
-    def spark() -> Column:
-        k = _k()
-        return F.when(k % UNQUOTED_EVERY == 0, F.lit(None).cast("double")).otherwise(
-            (F.lit(base) + (k * (mult + 2 * a) + step * h) % span).cast("double") / F.lit(100)
-        )
-
-    sql = (
-        f"CASE WHEN o_orderkey % {UNQUOTED_EVERY} = 0 THEN CAST(NULL AS DOUBLE) "
-        f"ELSE CAST({base} + (o_orderkey * {mult + 2 * a} + {step * h}) % {span} AS DOUBLE) / 100 END"
-    )
-    return _Rule(name, spark, sql)
-
+_FTR = (f"CASE WHEN {K} % {RESULT_GAP_EVERY} = 0 THEN CAST(NULL AS STRING) "
+        f"ELSE {_case_map('o_orderstatus', STATUS_RESULT)} END")
+_HTR = f"CASE {K} % 3 WHEN 0 THEN 'H' WHEN 1 THEN 'D' ELSE 'A' END"
 
-def _ftr() -> Column:
-    k = _k()
-    return F.when(k % RESULT_GAP_EVERY == 0, F.lit(None).cast("string")).otherwise(
-        _case_map(F.col("o_orderstatus"), STATUS_RESULT)
-    )
 
-
-def _htr() -> Column:
-    return _case_map((_k() % 3).cast("string"), {"0": "H", "1": "D", "2": "A"})
-
-
-_FTR_SQL = (
-    f"CASE WHEN o_orderkey % {RESULT_GAP_EVERY} = 0 THEN CAST(NULL AS VARCHAR) "
-    f"ELSE {_case_map_sql('o_orderstatus', STATUS_RESULT)} END"
-)
-_HTR_SQL = "CASE o_orderkey % 3 WHEN 0 THEN 'H' WHEN 1 THEN 'D' ELSE 'A' END"
-
-
-def _goals_rule(home: bool, half: bool) -> _Rule:
+def _goals(home: bool, half: bool) -> _Rule:
     """Winner scores more, a draw is level; a null result has null goals."""
     if half:
-        win_s, level_s, lose_s = "1 + o_orderkey % 2", "o_orderkey % 2", "0"
-        result_s = _HTR_SQL
+        result, win, level, lose = _HTR, f"1 + {K} % 2", f"{K} % 2", "0"
     else:
-        win_s, level_s, lose_s = "1 + o_orderkey % 3 + o_orderkey % 2", "o_orderkey % 4", "o_orderkey % 2"
-        result_s = _FTR_SQL
+        result, win, level, lose = _FTR, f"1 + {K} % 3 + {K} % 2", f"{K} % 4", f"{K} % 2"
     h_side, a_side = ("H", "A") if home else ("A", "H")
+    sql = (f"CAST(CASE WHEN ({result}) = '{h_side}' THEN {win} WHEN ({result}) = 'D' THEN {level} "
+           f"WHEN ({result}) = '{a_side}' THEN {lose} END AS INTEGER)")
+    return _Rule(("HT" if half else "FT") + ("HG" if home else "AG"), sql)
 
-    def spark() -> Column:
-        k = _k()
-        if half:
-            win, level, lose = F.lit(1) + k % 2, k % 2, F.lit(0)
-            result = _htr()
-        else:
-            win, level, lose = F.lit(1) + k % 3 + k % 2, k % 4, k % 2
-            result = _ftr()
-        return (F.when(result == F.lit(h_side), win).when(result == F.lit("D"), level)
-                .when(result == F.lit(a_side), lose)).cast("int")
 
-    sql = (f"CAST(CASE WHEN ({result_s}) = '{h_side}' THEN {win_s} WHEN ({result_s}) = 'D' "
-           f"THEN {level_s} WHEN ({result_s}) = '{a_side}' THEN {lose_s} END AS INTEGER)")
-    return _Rule(("HT" if half else "FT") + ("HG" if home else "AG"), spark, sql)
+def _quote(i: int, j: int) -> _Rule:
+    sql = (f"CASE WHEN ({K} + {i}) % {HOUSE_GAP_EVERY} = 0 OR {K} % {UNQUOTED_EVERY} = 0 "
+           f"THEN CAST(NULL AS DOUBLE) ELSE CAST(112 + ({K} * {37 + 8 * j} + {13 * i + 29 * j} "
+           f"+ ({K} % 7) * {i}) % 100 * 4 AS DOUBLE) / 100 END")
+    return _Rule(quote_column(HOUSE_CODES[i], OUTCOMES[j]), sql)
 
 
-def _kickoff() -> Column:
-    k = _k()
-    date = F.col("o_orderdate").cast("date")
-    return F.make_timestamp_ntz(F.year(date), F.month(date), F.dayofmonth(date),
-                                (F.lit(12) + k % 10).cast("int"), ((k % 4) * 15).cast("int"), F.lit(0))
+def _market(name: str, base: int, step: int, mult: int, span: int, h: int, a: int) -> _Rule:
+    sql = (f"CASE WHEN {K} % {UNQUOTED_EVERY} = 0 THEN CAST(NULL AS DOUBLE) "
+           f"ELSE CAST({base} + ({K} * {mult + 2 * a} + {step * h}) % {span} AS DOUBLE) / 100 END")
+    return _Rule(name, sql)
 
 
-def _stat_rule(s: int, name: str, modulus: int) -> _Rule:
-    return _Rule(name, lambda: ((_k() * (s + 3) + 7 * s) % modulus).cast("int"),
-                 f"CAST((o_orderkey * {s + 3} + {7 * s}) % {modulus} AS INTEGER)")
+_DAY = "CAST(o_orderdate AS DATE)"
+_HOUR = f"CAST(12 + {K} % 10 AS INTEGER)"
+_MINUTE = f"CAST(({K} % 4) * 15 AS INTEGER)"
 
 
 def _base_rules() -> list[_Rule]:
     rules = [
-        _Rule("MatchId", _k, "o_orderkey"),
-        _Rule("League", lambda: _case_map(F.col("o_orderpriority"), PRIORITY_LEAGUE),
-              _case_map_sql("o_orderpriority", PRIORITY_LEAGUE)),
-        _Rule("DateMatch", lambda: F.col("o_orderdate").cast("date"), "CAST(o_orderdate AS DATE)"),
-        _Rule("TimeMatch", _kickoff,
-              "CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_hours(CAST(12 + o_orderkey % 10 AS BIGINT))"
-              " + to_minutes(CAST((o_orderkey % 4) * 15 AS BIGINT))"),
-        _Rule("HomeTeam", lambda: F.concat(F.lit("T"), (F.col("o_custkey") % 20).cast("string")),
-              "'T' || CAST(o_custkey % 20 AS VARCHAR)"),
-        _Rule("AwayTeam", lambda: F.concat(F.lit("T"), ((F.col("o_custkey") + 7) % 20).cast("string")),
-              "'T' || CAST((o_custkey + 7) % 20 AS VARCHAR)"),
-        _goals_rule(home=True, half=False),
-        _goals_rule(home=False, half=False),
-        _Rule("FTR", _ftr, _FTR_SQL),
-        _goals_rule(home=True, half=True),
-        _goals_rule(home=False, half=True),
-        _Rule("HTR", _htr, _HTR_SQL),
+        _Rule("MatchId", K),
+        _Rule("League", _case_map("o_orderpriority", PRIORITY_LEAGUE)),
+        _Rule("DateMatch", _DAY),
+        _Rule("TimeMatch",
+              f"make_timestamp(year({_DAY}), month({_DAY}), day({_DAY}), {_HOUR}, {_MINUTE}, 0)",
+              f"make_timestamp_ntz(year({_DAY}), month({_DAY}), day({_DAY}), {_HOUR}, {_MINUTE}, 0)"),
+        _Rule("HomeTeam", "'T' || CAST(o_custkey % 20 AS STRING)"),
+        _Rule("AwayTeam", "'T' || CAST((o_custkey + 7) % 20 AS STRING)"),
+        _goals(home=True, half=False),
+        _goals(home=False, half=False),
+        _Rule("FTR", _FTR),
+        _goals(home=True, half=True),
+        _goals(home=False, half=True),
+        _Rule("HTR", _HTR),
     ]
-    rules += [_stat_rule(s, name, m) for s, (name, m) in enumerate(STAT_MODULI.items())]
-    rules += [_quote_rule(i, j) for i in range(len(HOUSE_CODES)) for j in range(len(OUTCOMES))]
+    rules += [_Rule(name, f"CAST(({K} * {s + 3} + {7 * s}) % {m} AS INTEGER)")
+              for s, (name, m) in enumerate(STAT_MODULI.items())]
+    rules += [_quote(i, j) for i in range(len(HOUSE_CODES)) for j in range(len(OUTCOMES))]
     return rules
 
 
 def _market_rules() -> list[_Rule]:
-    rules = [_Rule("AHh", lambda: ((_k() % 9) - 4).cast("double") * F.lit(0.25),
-                   "CAST(o_orderkey % 9 - 4 AS DOUBLE) * 0.25")]
-    for h, house in enumerate(MARKET_HOUSES):
-        for a, side in enumerate(HANDICAP_SIDES):
-            rules.append(_market_rule(f"{house}{side}", 170, 5, 11, 60, h, a))
-    for h, house in enumerate(MARKET_HOUSES):
-        for a, side in enumerate(TOTALS_SIDES):
-            rules.append(_market_rule(f"{house}{side}", 140, 3, 13, 90, h, a))
+    rules = [_Rule("AHh", f"CAST({K} % 9 - 4 AS DOUBLE) * 0.25")]
+    rules += [_market(f"{house}{side}", 170, 5, 11, 60, h, a)
+              for h, house in enumerate(MARKET_HOUSES) for a, side in enumerate(HANDICAP_SIDES)]
+    rules += [_market(f"{house}{side}", 140, 3, 13, 90, h, a)
+              for h, house in enumerate(MARKET_HOUSES) for a, side in enumerate(TOTALS_SIDES)]
     return rules
 
 
-def _bump() -> Column:
-    return F.when(_k() % 2 == 0, F.lit(PUBLISHED_BUMP)).otherwise(F.lit(0.0))
-
-
-def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-layout match table (codes, not league names) over ``orders``.
-
-    A pure projection of one parquet scan: only the four ``orders`` columns
-    it needs are read, and it stays in one codegen stage.
-    """
-    orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
-    base = orders.select(*[r.spark().alias(r.name) for r in _base_rules() + _market_rules()],
-                         F.col("o_orderkey"))
-    supplied = {f"Max{o}": best_quote(o) + _bump() for o in OUTCOMES}
-    supplied.update({f"Avg{o}": consensus_quote(o) + _bump() for o in OUTCOMES})
-    ordered = [r.name for r in _base_rules()] + list(supplied) + [r.name for r in _market_rules()]
-    return base.withColumns(supplied).select(*ordered)
-
-
-def matches_sql() -> str:
-    """The same table as a DuckDB/Spark SQL ``SELECT`` over ``orders``."""
-    base = ",\n  ".join(f"{r.sql} AS {r.name}" for r in _base_rules() + _market_rules())
-    inner = f"SELECT\n  {base},\n  o_orderkey AS _k\nFROM orders"
+def _supplied() -> list[str]:
+    """Published market max / average: our best / consensus, bumped on even keys."""
+    bump = f"(CASE WHEN _k % 2 = 0 THEN {PUBLISHED_BUMP} ELSE 0.0 END)"
     maxes, means = [], []
     for o in OUTCOMES:
         qs = [quote_column(h, o) for h in HOUSE_CODES]
-        best = f"GREATEST({', '.join(qs)})"
         total = " + ".join(f"COALESCE({q}, 0.0)" for q in qs)
         quoting = " + ".join(f"(CASE WHEN {q} IS NOT NULL THEN 1 ELSE 0 END)" for q in qs)
-        mean = f"ROUND(({total}) / NULLIF({quoting}, 0), 2)"
-        bump = f"(CASE WHEN _k % 2 = 0 THEN {PUBLISHED_BUMP} ELSE 0.0 END)"
-        maxes.append(f"{best} + {bump} AS Max{o}")
-        means.append(f"{mean} + {bump} AS Avg{o}")
-    supplied = maxes + means
-    names = [r.name for r in _base_rules()]
-    market = [r.name for r in _market_rules()]
-    return (f"SELECT {', '.join(names)},\n  " + ",\n  ".join(supplied)
-            + f",\n  {', '.join(market)}\nFROM (\n{inner}\n) AS h")
+        maxes.append(f"GREATEST({', '.join(qs)}) + {bump} AS Max{o}")
+        means.append(f"ROUND(({total}) / NULLIF({quoting}, 0), 2) + {bump} AS Avg{o}")
+    return maxes + means
 
 
 def harness_columns() -> list[str]:
@@ -241,13 +152,32 @@ def harness_columns() -> list[str]:
             + [r.name for r in _market_rules()])
 
 
-def referee(k: Column) -> Column:
-    """Extra column carried only by the EN export file (schema drift)."""
-    return F.concat(F.lit("Ref"), (k % 13).cast("string"))
+def _outer_select() -> list[str]:
+    return [r.name for r in _base_rules()] + _supplied() + [r.name for r in _market_rules()]
 
 
-def referee_sql(k: str = "MatchId") -> str:
-    return f"'Ref' || CAST({k} % 13 AS VARCHAR)"
+def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze-layout match table (league codes, not names) over ``orders``.
+
+    Two projections over one parquet scan: only the four ``orders`` columns
+    used are read, and the whole table stays in one codegen stage.
+    """
+    orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    rules = _base_rules() + _market_rules()
+    return (orders.selectExpr(*[r.spark() for r in rules], f"{K} AS _k")
+                  .selectExpr(*_outer_select()))
+
+
+def matches_sql() -> str:
+    """The same table as a DuckDB ``SELECT`` over ``orders``."""
+    rules = _base_rules() + _market_rules()
+    inner = "SELECT " + ",\n  ".join(r.duck() for r in rules) + f",\n  {K} AS _k\nFROM orders"
+    return f"SELECT {', '.join(_outer_select())}\nFROM (\n{inner}\n) AS h"
+
+
+def referee_sql(key: str = "MatchId") -> str:
+    """Extra column carried only by the EN export file (schema drift)."""
+    return f"'Ref' || CAST({key} % 13 AS STRING)"
 
 
-__all__ = ["matches", "matches_sql", "harness_columns", "referee", "referee_sql", "PRIORITY_LEAGUE"]
+__all__ = ["matches", "matches_sql", "harness_columns", "referee_sql", "PRIORITY_LEAGUE"]
