@@ -25,6 +25,7 @@ from ..schema import (
     OUTCOMES,
     PICK_COLUMN,
     REALISED_COLUMN,
+    present_houses,
     quote_column,
 )
 
@@ -105,8 +106,11 @@ def house_dispersion(
     One aggregate computes all ``len(houses) x 3`` deviations in a single scan
     (the source ran one full scan per house under ``UNION ALL``); the one-row
     result is then turned into one row per house with ``inline``.  Columns:
-    ``house, sd_home, sd_draw, sd_away``.
+    ``house, sd_home, sd_draw, sd_away``; houses without quote columns in
+    ``silver`` are left out.
     """
+    have = set(present_houses(silver.columns, [code for code, _ in houses]))
+    houses = [(code, name) for code, name in houses if code in have]
     aggs = [
         F.round(
             F.stddev_samp(F.col(quote_column(code, o)) - F.col(f"{CONSENSUS_PREFIX}{o}")), digits

@@ -33,6 +33,7 @@ from ..schema import (
     OUTCOMES,
     PICK_COLUMN,
     REALISED_COLUMN,
+    present_houses,
     quote_column,
 )
 
@@ -109,8 +110,10 @@ def enrich(
     Dependency order: quotes -> consensus -> {pick, raw} -> normalised ->
     realised.  Each step is a ``withColumns`` so every derived expression is
     computed once per row (Catalyst does not inline a non-trivial producer into
-    several consumers).
+    several consumers).  Only the ``houses`` whose quote columns exist in
+    ``bronze`` take part (files of other seasons carry other bookmakers).
     """
+    houses = present_houses(bronze.columns, houses)
     df = bronze.withColumns(
         {**{f"{BEST_PREFIX}{o}": best_quote(o, houses) for o in OUTCOMES},
          **{f"{CONSENSUS_PREFIX}{o}": consensus_quote(o, houses) for o in OUTCOMES}}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.quotes import best_quote, differs, strict_mean_quote
-from ..schema import HOUSE_CODES, OUTCOME_WORDS, OUTCOMES
+from ..schema import HOUSE_CODES, OUTCOME_WORDS, OUTCOMES, present_houses
 
 MATCH_KEYS = ("League", "DateMatch", "HomeTeam", "AwayTeam")
 
@@ -22,6 +22,7 @@ MATCH_KEYS = ("League", "DateMatch", "HomeTeam", "AwayTeam")
 def _reconcile(
     df: DataFrame, kind: str, keys: Sequence[str], houses: Sequence[str], tolerance: float
 ) -> DataFrame:
+    houses = present_houses(df.columns, houses)
     cols = []
     for o in OUTCOMES:
         w = OUTCOME_WORDS[o]

@@ -162,6 +162,15 @@ def quote_column(house: str, outcome: str) -> str:
     return f"{house}{outcome}"
 
 
+def present_houses(columns: list[str], houses=HOUSE_CODES) -> tuple[str, ...]:
+    """The houses among ``houses`` whose three 1X2 quote columns all exist."""
+    have = set(columns)
+    found = tuple(h for h in houses if all(quote_column(h, o) in have for o in OUTCOMES))
+    if not found:
+        raise ValueError(f"no 1X2 quote columns for any of {list(houses)}")
+    return found
+
+
 def documented_types() -> dict[str, T.DataType]:
     return {name: spark_type(t) for name, t, _ in DOCUMENTED}
 
