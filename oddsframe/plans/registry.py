@@ -24,6 +24,7 @@ from ..sources import dictionary as dictionary_io
 from ..sources import leagues as league_io
 from ..sources import tables
 from ..sources.harness import matches, referee_sql
+from ..streaming import live
 from .layers import build_bronze, build_silver
 from .oracle import dispersion_union, fmt2, with_silver
 
@@ -439,6 +440,39 @@ JOIN counts c ON t.column_name = c.column_name""")
 _register("column_audit", _column_audit, _column_audit_sql())
 
 
+# --- streaming form (incremental silver, running reports) --------------------
+
+
+def _landing(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """Match files landing in date order: four files, each a range of dates."""
+    landing = scratch_dir(spark, "landing")
+    batch = matches(spark, sf)
+    batch.repartitionByRange(4, "DateMatch", "MatchId").write.parquet(landing)
+    return landing, batch
+
+
+def _streaming_hit_rates(spark: SparkSession, sf: str) -> DataFrame:
+    landing, batch = _landing(spark, sf)
+    stream = live.match_stream(spark, landing, batch.schema, max_files_per_trigger=1)
+    view = unique_name("live_hit_rates")
+    live.running_view(live.running_hit_rates(live.silver_stream(stream)), view).awaitTermination()
+    return spark.table(view).select("league", "hit_pct")
+
+
+_register("streaming_hit_rate_league", _streaming_hit_rates, ORACLE["hit_rate_abs_league"])
+
+
+def _streaming_silver(spark: SparkSession, sf: str) -> DataFrame:
+    landing, batch = _landing(spark, sf)
+    stream = live.match_stream(spark, landing, batch.schema, max_files_per_trigger=2)
+    out = scratch_dir(spark, "live-silver")
+    live.append_silver(live.silver_stream(stream), out).awaitTermination()
+    return spark.read.parquet(out)
+
+
+_register("streaming_silver_append", _streaming_silver, with_silver("SELECT * FROM silver"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Favourite hit rate by league -- the headline report."""
     return QUERIES["hit_rate_abs_league"](spark, sf_dir)
