@@ -35,6 +35,21 @@ _GROUPINGS = {
 }
 
 
+def _sorted_report(out: DataFrame, value: str, bounded: bool) -> DataFrame:
+    """Order a report by ``value`` descending.
+
+    A report holds one row per group.  For the bounded groupings (leagues,
+    calendar months) those few rows are moved to one partition and sorted
+    there -- a shuffle of a handful of rows -- instead of a range sort, which
+    would first run a sampling job over the result.  Other groupings keep the
+    distributed range sort.
+    """
+    order = F.col(value).desc_nulls_last()
+    if bounded:
+        return out.repartition(1).sortWithinPartitions(order)
+    return out.orderBy(order)
+
+
 def _key(by: str | Column | None) -> list[Column]:
     if by is None:
         return []
@@ -92,7 +107,7 @@ def hit_rate(
     extra = ["share_pct"] if (share_of_total and not weighted) else []
     out = out.select(*key_names, value, *extra)
     if keys:
-        out = out.orderBy(F.col(value).desc_nulls_last())
+        out = _sorted_report(out, value, bounded=isinstance(by, str) and by in _GROUPINGS)
     if formatted:
         out = out.select(*key_names, *[as_text(c).alias(c) for c in [value, *extra]])
     return out
@@ -111,22 +126,26 @@ def house_dispersion(
     """
     have = set(present_houses(silver.columns, [code for code, _ in houses]))
     houses = [(code, name) for code, name in houses if code in have]
+    # The 3 x len(houses) expressions are handed over as SQL text: one parse on
+    # the JVM instead of several hundred Python -> JVM Column calls.
     aggs = [
-        F.round(
-            F.stddev_samp(F.col(quote_column(code, o)) - F.col(f"{CONSENSUS_PREFIX}{o}")), digits
-        ).alias(f"{code}_{o}")
+        F.expr(f"round(stddev_samp(`{quote_column(code, o)}` - `{CONSENSUS_PREFIX}{o}`), {int(digits)})")
+        .alias(f"{code}_{o}")
         for code, _ in houses
         for o in OUTCOMES
     ]
-    wide = silver.agg(*aggs)
-    rows = [
-        F.struct(
-            F.lit(name).alias("house"),
-            *[F.col(f"{code}_{o}").alias(f"sd_{OUTCOME_WORDS[o]}") for o in OUTCOMES],
+    rows = ", ".join(
+        "struct({name} AS house, {cols})".format(
+            name=_sql_string(name),
+            cols=", ".join(f"`{code}_{o}` AS sd_{OUTCOME_WORDS[o]}" for o in OUTCOMES),
         )
         for code, name in houses
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    )
+    return silver.agg(*aggs).selectExpr(f"inline(array({rows}))")
+
+
+def _sql_string(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def outcome_share(

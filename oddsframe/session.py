@@ -28,7 +28,10 @@ def get_session(
     """Get or create a session with the settings the library relies on.
 
     AQE stays on (partition coalescing after the tiny-cardinality aggregates);
-    the UI stays off for non-interactive runs.
+    the UI stays off for non-interactive runs.  ``hugeMethodLimit`` = 8000
+    keeps every generated method small enough for the HotSpot JIT (a wider
+    one would run interpreted); Spark then splits the wide silver projection
+    into several compiled operators.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -38,6 +41,10 @@ def get_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+        # Static: skips recording a Python call site on every Column call
+        # (several JVM round trips each); only error messages lose that line.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
