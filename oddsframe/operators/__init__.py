@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: enrichment, reports, quality checks."""

@@ -68,11 +68,20 @@ def read_typed(
     header: Sequence[str] | None = None,
     extra_types: Mapping[str, T.DataType] | None = None,
     unknown_type: T.DataType = T.StringType(),
+    infer: bool = False,
 ) -> DataFrame:
     """One distributed read of files that share ``header`` (read from the
     first path when not given).  Malformed numeric cells become null
-    (PERMISSIVE mode) instead of failing the job."""
+    (PERMISSIVE mode) instead of failing the job.
+
+    ``infer=True`` lets Spark infer the types instead (an extra full pass
+    over the files before the read; kept for parity with ad-hoc loading, not
+    for production -- inferred types may change from file to file).
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if infer:
+        return (spark.read.option("header", True).option("inferSchema", True)
+                .option("mode", "PERMISSIVE").csv(paths))
     header = list(header) if header is not None else header_of(spark, paths[0])
     schema = raw_schema(header, extra_types, unknown_type)
     return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")

@@ -77,6 +77,11 @@ def read_layer(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
+def display(df: DataFrame, n: int = 20) -> None:
+    """Print the first ``n`` rows untruncated (only ``n`` rows reach the driver)."""
+    df.show(n, truncate=False)
+
+
 def comment_column(spark: SparkSession, table: str, column: str, comment: str) -> None:
     """Set one column comment in the catalog (type unchanged)."""
     text = comment.replace("'", "\\'")

@@ -115,3 +115,12 @@ def test_ctas_copy_keeps_rows_and_comments(spark):
     assert tables.read_layer(spark, f"{dst}.europa").count() == 1
     comments = {r.column_name: r.comment for r in tables.describe(spark, f"{dst}.europa").collect()}
     assert comments["League"] == "League Division"
+
+
+def test_inferred_read_mode(spark):
+    root = scratch_dir(spark, "infer")
+    path = _write(f"{root}/a.csv", [HEADER, "E0,11-08-2023,20:00,Burnley,Man City,0,3,A,A,8.0,5.5,1.33,1.5"])
+    df = leagues.read_typed(spark, path, infer=True)
+    types = dict(df.dtypes)
+    assert types["B365H"] == "double" and types["FTHG"] == "int" and types["Date"] == "string"
+    assert leagues.normalise(df).collect()[0].DateMatch == dt.date(2023, 8, 11)
