@@ -18,12 +18,12 @@ from ..operators.analysis import hit_rate, house_dispersion, match_lookup, outco
 from ..operators.enrich import MARGIN_COLUMN, add_margin, decode_league, enrich, silver_columns
 from ..operators.quality import max_reconcile, mean_reconcile
 from ..operators.quality import dictionary_audit, schema_difference
-from ..schema import DOCUMENTED, OUTCOMES
+from ..schema import DOCUMENTED, OUTCOMES, raw_name
 from ..session import scratch_dir, unique_name
 from ..sources import dictionary as dictionary_io
 from ..sources import leagues as league_io
 from ..sources import tables
-from ..sources.harness import matches, referee_sql
+from ..sources.harness import harness_columns, matches, referee_sql
 from ..streaming import live
 from .layers import build_bronze, build_silver
 from .oracle import dispersion_union, fmt2, with_silver
@@ -318,12 +318,34 @@ FROM matches"""),
 
 
 def _csv_typed(spark: SparkSession, sf: str) -> DataFrame:
-    folders = [f for f in export_leagues(spark, sf) if _league_of(f) != DRIFT_LEAGUE]
-    return league_io.normalise(league_io.read_typed(spark, folders, extra_types=MATCH_ID_TYPE))
+    """Typed scan (S2) of every league file: one read per distinct header,
+    raw column names kept, aligned by name."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for folder in export_leagues(spark, sf):
+        groups.setdefault(tuple(league_io.header_of(spark, folder)), []).append(folder)
+    frames = [league_io.read_typed(spark, paths, header, extra_types=MATCH_ID_TYPE)
+              for header, paths in groups.items()]
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f, allowMissingColumns=True)
+    return union
+
+
+def _csv_typed_sql() -> str:
+    cols = []
+    for name in harness_columns():
+        raw = raw_name(name)
+        if name == "DateMatch":
+            cols.append("strftime(DateMatch, '%d-%m-%Y') AS \"Date\"")
+        elif name == "TimeMatch":
+            cols.append("strftime(TimeMatch, '%H:%M') AS \"Time\"")
+        else:
+            cols.append(f'{name} AS "{raw}"')
+    cols.append(f"CASE WHEN League = '{DRIFT_LEAGUE}' THEN {referee_sql('MatchId')} END AS Referee")
+    return with_silver(f"SELECT {', '.join(cols)} FROM matches")
 
 
-_register("csv_roundtrip_typed", _csv_typed,
-          with_silver(f"SELECT * FROM matches WHERE League <> '{DRIFT_LEAGUE}'"))
+_register("csv_roundtrip_typed", _csv_typed, _csv_typed_sql())
 
 
 def _flat_ingest(spark: SparkSession, sf: str) -> DataFrame:
