@@ -1,10 +1,10 @@
-"""Bronze -> silver enrichment as one lazy chain of projections.
+"""Bronze -> silver enrichment as one lazy projection.
 
 The source analysis adds fourteen columns with six ALTER/UPDATE rounds, each
-a full table rewrite.  Here the same columns come from four stacked
-``withColumns`` projections that Catalyst keeps inside the scan's single
-whole-stage-codegen stage: no exchange, no intermediate write, one pass over
-the data however many houses or rows there are.
+a full table rewrite.  Here the same columns come from one projection over
+the scan: no exchange, no intermediate write, one pass over the data however
+many houses or rows there are.  The ``add_*`` helpers expose the individual
+steps for callers that want only some of the columns.
 """
 
 from __future__ import annotations
@@ -108,21 +108,35 @@ def enrich(
     probability (plus the margin when ``with_margin``).
 
     Dependency order: quotes -> consensus -> {pick, raw} -> normalised ->
-    realised.  Each step is a ``withColumns`` so every derived expression is
-    computed once per row (Catalyst does not inline a non-trivial producer into
-    several consumers).  Only the ``houses`` whose quote columns exist in
-    ``bronze`` take part (files of other seasons carry other bookmakers).
+    realised.  The derived columns are composed as expressions and added in
+    a *single* projection; Spark's subexpression elimination evaluates each
+    shared term (the consensus, the raw probabilities) once per row.  One
+    projection matters on wide tables: each stacked projection would copy
+    every pass-through column again, and a wide fused stage can exceed the
+    size the JIT compiles (measured 3x slower on 6M 85-column rows).
+    Only the ``houses`` whose quote columns exist in ``bronze`` take part
+    (files of other seasons carry other bookmakers).
     """
     houses = present_houses(bronze.columns, houses)
-    df = bronze.withColumns(
-        {**{f"{BEST_PREFIX}{o}": best_quote(o, houses) for o in OUTCOMES},
-         **{f"{CONSENSUS_PREFIX}{o}": consensus_quote(o, houses) for o in OUTCOMES}}
-    )
-    df = add_implied(add_pick(df, fallback))
-    df = add_normalised(df)
+    consensus = {o: consensus_quote(o, houses) for o in OUTCOMES}
+    raw = {o: implied_probability(consensus[o]) for o in OUTCOMES}
+    normalised = {
+        o: normalised_probability(raw[o], raw["H"], raw["D"], raw["A"]) for o in OUTCOMES
+    }
+    derived: list[Column] = [best_quote(o, houses).alias(f"{BEST_PREFIX}{o}") for o in OUTCOMES]
+    derived += [consensus[o].alias(f"{CONSENSUS_PREFIX}{o}") for o in OUTCOMES]
+    derived += [favourite(consensus["H"], consensus["D"], consensus["A"], fallback).alias(PICK_COLUMN)]
+    derived += [raw[o].alias(f"{IMPLIED_PREFIX}{o}") for o in OUTCOMES]
+    derived += [normalised[o].alias(f"{NORMALISED_PREFIX}{o}") for o in OUTCOMES]
     if with_margin:
-        df = add_margin(df)
-    return add_realised(df)
+        derived += [overround(raw["H"], raw["D"], raw["A"]).alias(MARGIN_COLUMN)]
+    derived += [
+        realised_probability("FTR", normalised["H"], normalised["D"], normalised["A"])
+        .alias(REALISED_COLUMN)
+    ]
+    replaced = {c for c in silver_columns(with_margin)}
+    keep = [F.col(f"`{c}`") for c in bronze.columns if c not in replaced]
+    return bronze.select(*keep, *derived)
 
 
 def silver_columns(with_margin: bool = False) -> list[str]:
