@@ -118,14 +118,18 @@ def column_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
+BROADCAST_DICTIONARY_MAX_ROWS = 100_000
+
+
 def dictionary_audit(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Attach dictionary descriptions to the table's columns.
 
     ``dictionary`` has ``(column_name, description)`` rows.  Output, one row
     per column of ``df`` or of the dictionary: ``column_name, data_type, description,
-    in_table, documented, non_null``.  Both sides have one row per column, so
-    the join is between two schema-sized frames; the broadcast hint is bounded
-    by the dictionary's line count.
+    in_table, documented, non_null``.  Both sides have one row per column.
+    The dictionary is broadcast only after checking it has at most
+    ``BROADCAST_DICTIONARY_MAX_ROWS`` entries (a bounded ``limit().count()``);
+    a larger one goes through a regular shuffle join.
     """
     spark = df.sparkSession
     types = spark.createDataFrame(
@@ -134,8 +138,9 @@ def dictionary_audit(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
     profile = column_profile(df).join(types, "column_name")
     described = dictionary.select("column_name", "description").dropDuplicates(["column_name"])
+    small = described.limit(BROADCAST_DICTIONARY_MAX_ROWS + 1).count() <= BROADCAST_DICTIONARY_MAX_ROWS
     return (
-        profile.join(F.broadcast(described), "column_name", "full_outer")
+        profile.join(F.broadcast(described) if small else described, "column_name", "full_outer")
         .select(
             "column_name",
             "data_type",

@@ -377,14 +377,16 @@ def _fresh_database(spark: SparkSession, prefix: str) -> str:
 
 
 def _table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Create database, switch to it, drop-if-exists, write, read back.
+
+    The database switch happens in a sibling session (same catalog, own
+    current database), so the caller's session state is never touched.
+    """
     db = _fresh_database(spark, "bronze")
-    previous = spark.catalog.currentDatabase()
-    tables.use_database(spark, db)
-    try:
-        tables.drop_table(spark, "europa")
-        tables.write_layer(bronze(spark, sf), "europa")
-    finally:
-        tables.use_database(spark, previous)
+    sibling = spark.newSession()
+    tables.use_database(sibling, db)
+    tables.drop_table(sibling, "europa")
+    tables.write_layer(bronze(sibling, sf), "europa")
     return tables.read_layer(spark, f"{db}.europa")
 
 

@@ -14,6 +14,7 @@ runs over the data.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,14 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
 
 
+def headers_of(spark: SparkSession, paths: Sequence[str], workers: int = 16) -> list[list[str]]:
+    """Headers of many sources; the one-line reads run as concurrent jobs."""
+    if len(paths) <= 1:
+        return [header_of(spark, p) for p in paths]
+    with ThreadPoolExecutor(max_workers=min(workers, len(paths))) as pool:
+        return list(pool.map(lambda p: header_of(spark, p), paths))
+
+
 def read_strings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """All columns as STRING, named by the header (no inference pass)."""
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
@@ -132,9 +141,10 @@ def ingest(
     aligned by column name (a column missing from a group is null there).
     League codes are decoded to display names when ``decode``.
     """
+    sources = list(sources)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for src in sources:
-        groups.setdefault(tuple(header_of(spark, src)), []).append(src)
+    for src, header in zip(sources, headers_of(spark, sources)):
+        groups.setdefault(tuple(header), []).append(src)
     frames = [
         normalise(read_typed(spark, paths, header, extra_types, unknown_type), drop, date_patterns)
         for header, paths in groups.items()
