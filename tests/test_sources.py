@@ -124,3 +124,18 @@ def test_inferred_read_mode(spark):
     types = dict(df.dtypes)
     assert types["B365H"] == "double" and types["FTHG"] == "int" and types["Date"] == "string"
     assert leagues.normalise(df).collect()[0].DateMatch == dt.date(2023, 8, 11)
+
+
+def test_kickoff_ignores_session_time_zone(spark):
+    from oddsframe.functions.dates import kickoff, parse_date
+
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/London")
+    try:
+        df = spark.createDataFrame(
+            [("31-03-2024", "01:30"), ("11-08-2023", "25:00"), ("11-08-2023", "9:05")], "d string, t string")
+        got = [r.k for r in df.select(kickoff(parse_date("d"), "t").alias("k")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
+    # 01:30 on the spring-forward day does not exist in London; kept as written
+    assert got == [dt.datetime(2024, 3, 31, 1, 30), None, dt.datetime(2023, 8, 11, 9, 5)]
