@@ -139,3 +139,22 @@ def test_kickoff_ignores_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", previous)
     # 01:30 on the spring-forward day does not exist in London; kept as written
     assert got == [dt.datetime(2024, 3, 31, 1, 30), None, dt.datetime(2023, 8, 11, 9, 5)]
+
+
+def test_league_export_spreads_hot_league(spark):
+    import glob
+
+    root = scratch_dir(spark, "export")
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'E0' ELSE 'F1' END AS Div", "CAST(id AS STRING) AS HomeTeam")
+    # AQE would merge these tiny partitions (right for tiny data; at scale it
+    # coalesces by size, so a big league keeps its buckets); off to test spread.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        leagues.write_league_files(df, f"{root}/out", files_per_league=4)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = glob.glob(f"{root}/out/league=E0/*.csv")
+    assert 1 < len(files) <= 4
+    back = leagues.read_strings(spark, f"{root}/out/league=E0")
+    assert back.count() == 1000 and set(back.columns) == {"Div", "HomeTeam"}
