@@ -29,9 +29,19 @@ from ..schema import (
     quote_column,
 )
 
-_GROUPINGS = {
+SEASON_START_MONTH = 7   # a season runs July to June, labelled by its start year
+
+
+def season_of(date: str | Column = "DateMatch") -> Column:
+    """Season start year of a match date (July-June seasons)."""
+    d = F.col(date) if isinstance(date, str) else date
+    return F.when(F.month(d) >= SEASON_START_MONTH, F.year(d)).otherwise(F.year(d) - 1)
+
+
+GROUPINGS = {
     "league": lambda: F.col("League").alias("league"),
     "month": lambda: F.month("DateMatch").alias("month"),
+    "season": lambda: season_of().alias("season"),
 }
 
 
@@ -54,7 +64,7 @@ def _key(by: str | Column | None) -> list[Column]:
     if by is None:
         return []
     if isinstance(by, str):
-        return [_GROUPINGS[by]() if by in _GROUPINGS else F.col(by)]
+        return [GROUPINGS[by]() if by in GROUPINGS else F.col(by)]
     return [by]
 
 
@@ -76,7 +86,8 @@ def hit_rate(
       matches where that probability is known.  Column ``weighted_pct``.
 
     ``by``: ``None`` (overall), ``"league"``, ``"month"`` (calendar month of
-    the match date, year ignored) or any column.  Groups without a single hit
+    the match date, year ignored -- seasons merge), ``"season"`` (July-June
+    season, the year-aware split) or any column.  Groups without a single hit
     are kept with 0 unless ``drop_empty`` (which also drops a null group key,
     as an inner join on the key would).  ``share_of_total`` adds
     ``share_pct`` = group hits as a percent of all matches.  Rows are sorted
@@ -107,7 +118,7 @@ def hit_rate(
     extra = ["share_pct"] if (share_of_total and not weighted) else []
     out = out.select(*key_names, value, *extra)
     if keys:
-        out = _sorted_report(out, value, bounded=isinstance(by, str) and by in _GROUPINGS)
+        out = _sorted_report(out, value, bounded=isinstance(by, str) and by in GROUPINGS)
     if formatted:
         out = out.select(*key_names, *[as_text(c).alias(c) for c in [value, *extra]])
     return out

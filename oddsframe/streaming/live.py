@@ -17,16 +17,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numbers import percent
+from ..operators.analysis import GROUPINGS
 from ..operators.enrich import decode_league, enrich
 from ..schema import PICK_COLUMN, REALISED_COLUMN
 from ..session import scratch_dir
 
-_KEYS = {
-    "league": lambda: F.col("League").alias("league"),
-    "month": lambda: F.month("DateMatch").alias("month"),
-}
-
-
 def match_stream(
     spark: SparkSession,
     landing: str,
@@ -52,10 +47,10 @@ def running_hit_rates(silver: DataFrame, by: str = "league") -> DataFrame:
 
     Same semantics as the batch ``hit_rate``: every match counts in the
     absolute denominator, null probabilities are skipped by the weighted one.
-    ``by`` is ``"league"``, ``"month"`` or a column name.  Output: key,
+    ``by`` is ``"league"``, ``"month"``, ``"season"`` or a column name.  Output: key,
     ``matches``, ``hits``, ``hit_pct``, ``weighted_pct``.
     """
-    key = _KEYS[by]() if by in _KEYS else F.col(by)
+    key = GROUPINGS[by]() if by in GROUPINGS else F.col(by)
     hit = F.col("FTR") == F.col(PICK_COLUMN)
     p = F.col(REALISED_COLUMN).cast("double")
     return (silver.groupBy(key)

@@ -126,3 +126,13 @@ def test_match_lookup(spark):
     rows = [match(1, FAV_H, home="Barcelona", away="Girona"), match(2, FAV_H, home="Girona", away="Barcelona")]
     got = match_lookup(_silver(spark, rows), "Barcelona", "Girona").collect()
     assert len(got) == 1 and got[0].MediaH == 1.5
+
+
+def test_season_grouping_splits_years(spark):
+    rows = [
+        match(1, FAV_H, ftr="H", date=dt.date(2023, 8, 1)),
+        match(2, FAV_H, ftr="D", date=dt.date(2024, 5, 1)),   # same 2023 season
+        match(3, FAV_H, ftr="H", date=dt.date(2024, 8, 9)),   # 2024 season
+    ]
+    got = {r.season: r.hit_pct for r in hit_rate(_silver(spark, rows), by="season").collect()}
+    assert got == {2023: 50.0, 2024: 100.0}
