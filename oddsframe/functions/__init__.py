@@ -4,6 +4,17 @@ from .dates import format_date, format_time, kickoff, parse_date
 from .numbers import as_text, percent
 from .quotes import (
     best_quote,
+    best_quote_sql,
+    consensus_sql,
+    differs_sql,
+    favourite_sql,
+    ident,
+    implied_sql,
+    normalised_sql,
+    overround_sql,
+    realised_sql,
+    sql_string,
+    strict_mean_sql,
     consensus_quote,
     differs,
     favourite,
@@ -16,6 +27,17 @@ from .quotes import (
 )
 
 __all__ = [
+    "best_quote_sql",
+    "consensus_sql",
+    "differs_sql",
+    "favourite_sql",
+    "ident",
+    "implied_sql",
+    "normalised_sql",
+    "overround_sql",
+    "realised_sql",
+    "sql_string",
+    "strict_mean_sql",
     "as_text",
     "best_quote",
     "consensus_quote",

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import as_text, percent
+from ..functions.quotes import ident, sql_string
 from ..schema import (
     CONSENSUS_PREFIX,
     HOUSES,
@@ -140,25 +141,21 @@ def house_dispersion(
     # The 3 x len(houses) expressions are handed over as SQL text: one parse on
     # the JVM instead of several hundred Python -> JVM Column calls.
     aggs = [
-        F.expr(f"round(stddev_samp(`{quote_column(code, o)}` - `{CONSENSUS_PREFIX}{o}`), {int(digits)})")
+        F.expr(f"round(stddev_samp({ident(quote_column(code, o))} - {ident(CONSENSUS_PREFIX + o)}), {int(digits)})")
         .alias(f"{code}_{o}")
         for code, _ in houses
         for o in OUTCOMES
     ]
     rows = ", ".join(
         "struct({name} AS house, {cols})".format(
-            name=_sql_string(name),
-            cols=", ".join(f"`{code}_{o}` AS sd_{OUTCOME_WORDS[o]}" for o in OUTCOMES),
+            name=sql_string(name),
+            cols=", ".join(f"{ident(code + '_' + o)} AS sd_{OUTCOME_WORDS[o]}" for o in OUTCOMES),
         )
         for code, name in houses
     )
     return silver.agg(*aggs).selectExpr(f"inline(array({rows}))")
 
 
-def _sql_string(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def outcome_share(
     silver: DataFrame, column: str = "HTR", formatted: bool = False
 ) -> DataFrame:

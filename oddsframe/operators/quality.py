@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.quotes import best_quote, differs, strict_mean_quote
+from ..functions.quotes import best_quote_sql, differs_sql, ident, strict_mean_sql
 from ..schema import HOUSE_CODES, OUTCOME_WORDS, OUTCOMES, present_houses
 
 MATCH_KEYS = ("League", "DateMatch", "HomeTeam", "AwayTeam")
@@ -27,13 +27,13 @@ def _reconcile(
     for o in OUTCOMES:
         w = OUTCOME_WORDS[o]
         if kind == "max":
-            computed, supplied = best_quote(o, houses), F.col(f"Max{o}")
+            computed, supplied = best_quote_sql(o, houses), ident(f"Max{o}")
         else:
-            computed, supplied = strict_mean_quote(o, houses), F.col(f"Avg{o}")
+            computed, supplied = strict_mean_sql(o, houses), ident(f"Avg{o}")
         cols += [
-            computed.alias(f"computed_{w}"),
-            supplied.alias(f"supplied_{w}"),
-            differs(computed, supplied, tolerance).alias(f"differs_{w}"),
+            F.expr(computed).alias(f"computed_{w}"),
+            F.col(supplied).alias(f"supplied_{w}"),
+            F.expr(differs_sql(computed, supplied, tolerance)).alias(f"differs_{w}"),
         ]
     return df.select(*keys, *cols)
 
@@ -71,13 +71,14 @@ def mismatch_counts(df: DataFrame, houses: Sequence[str] = HOUSE_CODES,
                     tolerance: float = 0.005) -> DataFrame:
     """How many matches disagree with the supplied Max / Avg, per outcome --
     one aggregate pass (``count_if`` ignores null flags)."""
+    houses = present_houses(df.columns, houses)
     aggs = [F.count(F.lit(1)).alias("matches")]
     for o in OUTCOMES:
         w = OUTCOME_WORDS[o]
-        aggs.append(F.count_if(differs(best_quote(o, houses), F.col(f"Max{o}"), tolerance))
-                    .alias(f"max_differs_{w}"))
-        aggs.append(F.count_if(differs(strict_mean_quote(o, houses), F.col(f"Avg{o}"), tolerance))
-                    .alias(f"avg_differs_{w}"))
+        max_off = differs_sql(best_quote_sql(o, houses), ident(f"Max{o}"), tolerance)
+        avg_off = differs_sql(strict_mean_sql(o, houses), ident(f"Avg{o}"), tolerance)
+        aggs.append(F.expr(f"count_if({max_off})").alias(f"max_differs_{w}"))
+        aggs.append(F.expr(f"count_if({avg_off})").alias(f"avg_differs_{w}"))
     return df.agg(*aggs)
 
 
