@@ -95,6 +95,7 @@ def hit_rate(
     by the numeric rate, descending; ``formatted`` turns rates into text last.
     """
     keys = _key(by)
+    bounded = isinstance(by, str) and by in GROUPINGS
     if weighted:
         p = F.col(REALISED_COLUMN).cast("double")
         aggs = [F.try_divide(F.sum(p), F.count(p)).alias("weighted_pct")]
@@ -111,15 +112,20 @@ def hit_rate(
             if keys:
                 out = out.where(F.col(out.columns[0]).isNotNull())
         if share_of_total:
-            # The grouped frame holds one row per group (a handful of leagues or
-            # twelve months), so an unpartitioned window over it is cheap.
-            everyone = F.sum("_matches").over(Window.partitionBy())
+            if bounded or not keys:
+                # One row per league / month: an unpartitioned window over the
+                # grouped rows is a shuffle of a handful of rows.
+                everyone = F.sum("_matches").over(Window.partitionBy())
+            else:
+                # Arbitrary groupings may be many: the grand total comes from an
+                # uncorrelated scalar subquery instead (no join, no funnel).
+                everyone = silver.agg(F.count(F.lit(1))).scalar()
             out = out.withColumn("share_pct", percent(F.col("_hits"), everyone))
     key_names = [out.columns[0]] if keys else []
     extra = ["share_pct"] if (share_of_total and not weighted) else []
     out = out.select(*key_names, value, *extra)
     if keys:
-        out = _sorted_report(out, value, bounded=isinstance(by, str) and by in GROUPINGS)
+        out = _sorted_report(out, value, bounded=bounded)
     if formatted:
         out = out.select(*key_names, *[as_text(c).alias(c) for c in [value, *extra]])
     return out

@@ -136,3 +136,15 @@ def test_season_grouping_splits_years(spark):
     ]
     got = {r.season: r.hit_pct for r in hit_rate(_silver(spark, rows), by="season").collect()}
     assert got == {2023: 50.0, 2024: 100.0}
+
+
+def test_share_of_total_for_arbitrary_grouping(spark):
+    rows = [match(i, FAV_H, ftr="H" if i % 2 else "D", home=f"T{i % 3}") for i in range(12)]
+    silver = _silver(spark, rows)
+    got = {r.HomeTeam: (r.hit_pct, r.share_pct)
+           for r in hit_rate(silver, by="HomeTeam", share_of_total=True).collect()}
+    # T0: ids 0,3,6,9 -> hits 3,9 ; T1: 1,4,7,10 -> 1,7 ; T2: 2,5,8,11 -> 5,11
+    assert got == {"T0": (50.0, 2 * 100 / 12), "T1": (50.0, 2 * 100 / 12), "T2": (50.0, 2 * 100 / 12)}
+    ops = " ".join(__import__("oddsframe.plans.inspect", fromlist=["x"]).physical_operators(
+        hit_rate(silver, by="HomeTeam", share_of_total=True)))
+    assert "Window" not in ops
