@@ -167,13 +167,13 @@ def outcome_share(
 ) -> DataFrame:
     """Percent of matches ending H / D / A in ``column`` (``HTR`` half time,
     as in the source query, or ``FTR`` full time).  The denominator is every
-    match, so null results make the shares sum below 100.
-    Columns ``home_pct, draw_pct, away_pct``.
+    match, so null results make the shares sum below 100; an empty input
+    gives nulls, not a division error.  Columns ``home_pct, draw_pct, away_pct``.
     """
     c = F.col(column)
     total = F.count(F.lit(1)).cast("double")
     aggs = [
-        ((F.count_if(c == F.lit(o)).cast("double") / total) * F.lit(100.0))
+        (F.try_divide(F.count_if(c == F.lit(o)).cast("double"), total) * F.lit(100.0))
         .alias(f"{OUTCOME_WORDS[o]}_pct")
         for o in OUTCOMES
     ]

@@ -148,3 +148,11 @@ def test_share_of_total_for_arbitrary_grouping(spark):
     ops = " ".join(__import__("oddsframe.plans.inspect", fromlist=["x"]).physical_operators(
         hit_rate(silver, by="HomeTeam", share_of_total=True)))
     assert "Window" not in ops
+
+
+def test_reports_on_empty_input(spark):
+    empty = _silver(spark, [match(1, FAV_H)]).limit(0)
+    assert hit_rate(empty).collect()[0].hit_pct is None
+    assert hit_rate(empty, weighted=True).collect()[0].weighted_pct is None
+    assert outcome_share(empty).collect()[0].home_pct is None
+    assert hit_rate(empty, by="league").collect() == []
