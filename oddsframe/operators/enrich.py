@@ -22,6 +22,7 @@ from ..functions.quotes import (
     favourite,
     favourite_sql,
     ident,
+    sql_string,
     implied_probability,
     implied_sql,
     normalised_probability,
@@ -161,10 +162,10 @@ def to_long(df: DataFrame, ids: Sequence[str], houses: Sequence[str] = HOUSE_COD
     becomes ``groupBy(ids, outcome)`` instead of a wide row expression.  Null
     quotes are dropped (a house that did not quote has no row).
     """
-    structs = [
-        F.struct(F.lit(h).alias("house"), F.lit(o).alias("outcome"),
-                 F.col(quote_column(h, o)).alias("quote"))
+    structs = ", ".join(
+        f"struct({sql_string(h)} AS house, {sql_string(o)} AS outcome, "
+        f"{ident(quote_column(h, o))} AS quote)"
         for h in houses for o in OUTCOMES
-    ]
-    return (df.select(*ids, F.inline(F.array(*structs)))
+    )
+    return (df.selectExpr(*[ident(c) for c in ids], f"inline(array({structs}))")
               .where(F.col("quote").isNotNull()))

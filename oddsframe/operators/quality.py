@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.quotes import best_quote_sql, differs_sql, ident, strict_mean_sql
+from ..functions.quotes import best_quote_sql, differs_sql, ident, sql_string, strict_mean_sql
 from ..schema import HOUSE_CODES, OUTCOME_WORDS, OUTCOMES, present_houses
 
 MATCH_KEYS = ("League", "DateMatch", "HomeTeam", "AwayTeam")
@@ -113,10 +113,11 @@ def schema_difference(spark: SparkSession, columns_by_source: Mapping[str, Seque
 def column_profile(df: DataFrame) -> DataFrame:
     """Non-null count per column, in one aggregate pass, as long rows
     ``(column_name, non_null)``."""
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("long").alias("non_null"))
-            for c in df.columns]
-    return counts.select(F.inline(F.array(*rows)))
+    counted = [f"_n{i}" for i in range(len(df.columns))]
+    counts = df.agg(*[F.expr(f"count({ident(c)})").alias(n) for c, n in zip(df.columns, counted)])
+    rows = ", ".join(f"struct({sql_string(c)} AS column_name, CAST({n} AS BIGINT) AS non_null)"
+                     for c, n in zip(df.columns, counted))
+    return counts.selectExpr(f"inline(array({rows}))")
 
 
 BROADCAST_DICTIONARY_MAX_ROWS = 100_000
