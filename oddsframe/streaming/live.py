@@ -30,8 +30,15 @@ def match_stream(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Streaming frame over files arriving in ``landing`` (fixed schema; file
-    sources never infer).  ``max_files_per_trigger`` bounds each batch."""
+    sources never infer).  ``max_files_per_trigger`` bounds each batch.
+
+    For raw league CSV files pass ``fmt="csv"`` and the typed raw schema of
+    their header (``sources.leagues.raw_schema``); header lines are skipped
+    and ``sources.leagues.normalise`` turns the stream into bronze rows.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(landing)
