@@ -50,7 +50,7 @@ def _sorted_report(out: DataFrame, value: str, bounded: bool) -> DataFrame:
     """Order a report by ``value`` descending.
 
     A report holds one row per group.  For the bounded groupings (leagues,
-    calendar months) those few rows are moved to one partition and sorted
+    calendar months, seasons) those few rows are moved to one partition and sorted
     there -- a shuffle of a handful of rows -- instead of a range sort, which
     would first run a sampling job over the result.  Other groupings keep the
     distributed range sort.
@@ -107,20 +107,22 @@ def hit_rate(
     out = silver.groupBy(*keys).agg(*aggs) if keys else silver.agg(*aggs)
     if not weighted:
         out = out.withColumn(value, percent(F.col("_hits"), F.col("_matches")))
-        if drop_empty:
-            out = out.where(F.col("_hits") > 0)
-            if keys:
-                out = out.where(F.col(out.columns[0]).isNotNull())
         if share_of_total:
+            # The denominator is every match, so it is taken before any group
+            # is dropped below.
             if bounded or not keys:
-                # One row per league / month: an unpartitioned window over the
-                # grouped rows is a shuffle of a handful of rows.
+                # One row per league / month / season: an unpartitioned window
+                # over the grouped rows is a shuffle of a handful of rows.
                 everyone = F.sum("_matches").over(Window.partitionBy())
             else:
                 # Arbitrary groupings may be many: the grand total comes from an
                 # uncorrelated scalar subquery instead (no join, no funnel).
                 everyone = silver.agg(F.count(F.lit(1))).scalar()
             out = out.withColumn("share_pct", percent(F.col("_hits"), everyone))
+        if drop_empty:
+            out = out.where(F.col("_hits") > 0)
+            if keys:
+                out = out.where(F.col(out.columns[0]).isNotNull())
     key_names = [out.columns[0]] if keys else []
     extra = ["share_pct"] if (share_of_total and not weighted) else []
     out = out.select(*key_names, value, *extra)

@@ -156,3 +156,12 @@ def test_reports_on_empty_input(spark):
     assert hit_rate(empty, weighted=True).collect()[0].weighted_pct is None
     assert outcome_share(empty).collect()[0].home_pct is None
     assert hit_rate(empty, by="league").collect() == []
+
+
+def test_share_denominator_keeps_dropped_groups(spark):
+    rows = [match(1, FAV_H, ftr="H", league="E0"), match(2, FAV_H, ftr="A", league="F1"),
+            match(3, FAV_H, ftr="A", league="F1"), match(4, FAV_H, ftr="D", league="E0")]
+    got = {r.league: (r.hit_pct, r.share_pct)
+           for r in hit_rate(_silver(spark, rows), by="league", share_of_total=True,
+                             drop_empty=True).collect()}
+    assert got == {"E0": (50.0, 25.0)}    # 1 hit of all 4 matches, F1 dropped
