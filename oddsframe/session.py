@@ -55,8 +55,12 @@ def get_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder, set to a private one only when unset."""
-    root = spark.conf.get(_CHECKPOINT_KEY, None)
+    """The shared checkpoint folder; a private one is registered only when
+    the session names none (local runs, tests)."""
+    try:
+        root = spark.conf.get(_CHECKPOINT_KEY, None)
+    except Exception:
+        root = None
     if not root:
         try:
             root = spark.sparkContext.getCheckpointDir()
@@ -64,8 +68,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = None
     if not root:
         root = tempfile.mkdtemp(prefix="oddsframe-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
         try:
+            # Core setting: registered on the context, read back above next time.
             spark.sparkContext.setCheckpointDir(root)
         except Exception:
             pass
