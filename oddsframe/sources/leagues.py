@@ -45,7 +45,12 @@ def headers_of(spark: SparkSession, paths: Sequence[str], workers: int = 16) ->
 
 
 def read_strings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """All columns as STRING, named by the header (no inference pass)."""
+    """All columns as STRING, named by the header (no inference pass).
+
+    Give several paths only when they share one header: Spark names the
+    columns from the first file and maps the rest by position.  Mixed
+    headers go through ``ingest`` (grouped by header, aligned by name).
+    """
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
