@@ -41,7 +41,13 @@ def build_silver(
     location: str | None = None,
     partition_by: list[str] | None = None,
 ) -> DataFrame:
-    """Enrich the stored bronze table into the silver table in one job."""
+    """Enrich the stored bronze table into the silver table in one job.
+
+    Silver is always its own table: a table cannot be overwritten by a job
+    that reads it, so the source's in-place updates become a new table.
+    """
+    if table.lower() == bronze_table.lower():
+        raise ValueError("silver must be a different table from bronze")
     db = table.split(".")[0] if "." in table else None
     if db:
         create_database(spark, db, location)

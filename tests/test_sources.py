@@ -158,3 +158,21 @@ def test_league_export_spreads_hot_league(spark):
     assert 1 < len(files) <= 4
     back = leagues.read_strings(spark, f"{root}/out/league=E0")
     assert back.count() == 1000 and set(back.columns) == {"Div", "HomeTeam"}
+
+
+def test_malformed_numbers_become_null(spark):
+    root = scratch_dir(spark, "malformed")
+    path = _write(f"{root}/a.csv", [
+        HEADER,
+        "E0,11-08-2023,20:00,Burnley,Man City,zero,3,A,A,8.0,n/a,1.33,1.5",
+    ])
+    row = leagues.normalise(leagues.read_typed(spark, path)).collect()[0]
+    assert row.FTHG is None and row.B365D is None
+    assert row.FTAG == 3 and row.B365H == 8.0
+
+
+def test_silver_never_overwrites_its_source(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        build_silver(spark, "bronze.europa", "bronze.europa")
