@@ -18,7 +18,7 @@ from ..operators.analysis import hit_rate, house_dispersion, match_lookup, outco
 from ..operators.enrich import MARGIN_COLUMN, add_margin, decode_league, enrich, silver_columns
 from ..operators.quality import max_reconcile, mean_reconcile
 from ..operators.quality import dictionary_audit, schema_difference
-from ..schema import DOCUMENTED, OUTCOMES, raw_name
+from ..schema import DOCUMENTED, HOUSE_CODES, OUTCOMES, raw_name
 from ..session import scratch_dir, unique_name
 from ..sources import dictionary as dictionary_io
 from ..sources import leagues as league_io
@@ -236,12 +236,12 @@ _register(
 def _audit_sql(kind: str) -> str:
     cols = []
     for o in OUTCOMES:
-        qs = [f"{h}{o}" for h in ("B365", "BW", "IW", "PS", "VC", "WH")]
+        qs = [f"{h}{o}" for h in HOUSE_CODES]
         if kind == "max":
             computed = f"GREATEST({', '.join(qs)})"
             supplied = f"Max{o}"
         else:
-            computed = f"ROUND(({' + '.join(qs)}) / 6.0, 2)"
+            computed = f"ROUND(({' + '.join(qs)}) / {len(qs)}.0, 2)"
             supplied = f"Avg{o}"
         w = {"H": "home", "D": "draw", "A": "away"}[o]
         cols.append(f"{computed} AS computed_{w}")
