@@ -477,10 +477,11 @@ def _landing(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
 
 def _streaming_hit_rates(spark: SparkSession, sf: str) -> DataFrame:
     landing, batch = _landing(spark, sf)
-    stream = live.match_stream(spark, landing, batch.schema, max_files_per_trigger=1)
+    streams = live.stream_session(spark)
+    stream = live.match_stream(streams, landing, batch.schema, max_files_per_trigger=1)
     view = unique_name("live_hit_rates")
     live.running_view(live.running_hit_rates(live.silver_stream(stream)), view).awaitTermination()
-    return spark.table(view).select("league", "hit_pct")
+    return streams.table(view).select("league", "hit_pct")
 
 
 _register("streaming_hit_rate_league", _streaming_hit_rates, ORACLE["hit_rate_abs_league"])

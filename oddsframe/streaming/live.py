@@ -22,6 +22,22 @@ from ..operators.enrich import decode_league, enrich
 from ..schema import PICK_COLUMN, REALISED_COLUMN
 from ..session import scratch_dir
 
+def stream_session(spark: SparkSession, state_partitions: int = 8) -> SparkSession:
+    """A sibling session (same context and catalog, own SQL settings) whose
+    streaming aggregations keep their state in ``state_partitions``
+    partitions.
+
+    The running reports hold one state row per group, and each micro-batch
+    shuffles only partial aggregates (a few rows per input task), so a
+    handful of state partitions is right at any input size.  The count is
+    fixed into the checkpoint when a query first starts; the caller's own
+    session settings are left alone.
+    """
+    sibling = spark.newSession()
+    sibling.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    return sibling
+
+
 def match_stream(
     spark: SparkSession,
     landing: str,

@@ -28,11 +28,13 @@ def test_csv_landing_stream_matches_batch(spark):
         with open(f"{landing}/day{i}.csv", "w", encoding="utf-8") as fh:
             fh.write("\n".join([HEADER, *day]) + "\n")
     schema = leagues.raw_schema(HEADER.split(","))
-    stream = live.match_stream(spark, landing, schema, fmt="csv", max_files_per_trigger=1)
+    streams = live.stream_session(spark, state_partitions=2)
+    stream = live.match_stream(streams, landing, schema, fmt="csv", max_files_per_trigger=1)
     silver = live.silver_stream(leagues.normalise(stream))
     view = unique_name("live_rates")
     live.running_view(live.running_hit_rates(silver), view).awaitTermination()
-    got = {r.league: (r.matches, r.hit_pct) for r in spark.table(view).collect()}
+    got = {r.league: (r.matches, r.hit_pct) for r in streams.table(view).collect()}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"   # caller untouched
 
     batch = enrich(leagues.ingest(spark, [landing]))
     want = {r.league: r.hit_pct for r in hit_rate(batch, by="league").collect()}
