@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.quotes import best_quote_sql, differs_sql, ident, sql_string, strict_mean_sql
-from ..schema import HOUSE_CODES, OUTCOME_WORDS, OUTCOMES, present_houses
+from ..schema import (
+    HOUSE_CODES,
+    OUTCOME_WORDS,
+    OUTCOMES,
+    SUPPLIED_AVG_PREFIX,
+    SUPPLIED_MAX_PREFIX,
+    present_houses,
+)
 
 MATCH_KEYS = ("League", "DateMatch", "HomeTeam", "AwayTeam")
 
@@ -27,9 +34,9 @@ def _reconcile(
     for o in OUTCOMES:
         w = OUTCOME_WORDS[o]
         if kind == "max":
-            computed, supplied = best_quote_sql(o, houses), ident(f"Max{o}")
+            computed, supplied = best_quote_sql(o, houses), ident(f"{SUPPLIED_MAX_PREFIX}{o}")
         else:
-            computed, supplied = strict_mean_sql(o, houses), ident(f"Avg{o}")
+            computed, supplied = strict_mean_sql(o, houses), ident(f"{SUPPLIED_AVG_PREFIX}{o}")
         cols += [
             F.expr(computed).alias(f"computed_{w}"),
             F.col(supplied).alias(f"supplied_{w}"),
@@ -75,8 +82,8 @@ def mismatch_counts(df: DataFrame, houses: Sequence[str] = HOUSE_CODES,
     aggs = [F.count(F.lit(1)).alias("matches")]
     for o in OUTCOMES:
         w = OUTCOME_WORDS[o]
-        max_off = differs_sql(best_quote_sql(o, houses), ident(f"Max{o}"), tolerance)
-        avg_off = differs_sql(strict_mean_sql(o, houses), ident(f"Avg{o}"), tolerance)
+        max_off = differs_sql(best_quote_sql(o, houses), ident(f"{SUPPLIED_MAX_PREFIX}{o}"), tolerance)
+        avg_off = differs_sql(strict_mean_sql(o, houses), ident(f"{SUPPLIED_AVG_PREFIX}{o}"), tolerance)
         aggs.append(F.expr(f"count_if({max_off})").alias(f"max_differs_{w}"))
         aggs.append(F.expr(f"count_if({avg_off})").alias(f"avg_differs_{w}"))
     return df.agg(*aggs)

@@ -119,3 +119,25 @@ def test_to_long_drops_missing_quotes(spark):
     assert long.count() == len(HOUSE_CODES) * 3 - 1
     best = long.groupBy("outcome").agg(F.max("quote").alias("m")).collect()
     assert {r.outcome: r.m for r in best} == {"H": 2.0, "D": 3.0, "A": 4.0}
+
+
+def test_stepwise_helpers_match_enrich(spark):
+    from oddsframe.operators.enrich import (
+        add_best_quotes, add_consensus, add_implied, add_normalised, add_pick, add_realised,
+        silver_columns,
+    )
+
+    rows = [match(1, uniform(1.51, 4.74, 5.62), ftr="A"), match(2, uniform(2.0, 3.0, 4.0), ftr=None)]
+    df = frame(spark, rows)
+    steps = add_realised(add_normalised(add_implied(add_pick(add_consensus(add_best_quotes(df))))))
+    cols = ["MatchId", *silver_columns()]
+    assert sorted(steps.select(cols).collect()) == sorted(enrich(df).select(cols).collect())
+
+
+def test_bronze_schema_carries_comments():
+    from oddsframe.schema import bronze_schema
+
+    schema = bronze_schema({"MatchId": __import__("pyspark.sql.types", fromlist=["x"]).LongType()})
+    assert len(schema.fields) == 65
+    assert schema["B365H"].metadata["comment"] == "Bet365 home win odds"
+    assert schema["TimeMatch"].dataType.simpleString() == "timestamp_ntz"

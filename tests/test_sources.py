@@ -176,3 +176,12 @@ def test_silver_never_overwrites_its_source(spark):
 
     with pytest.raises(ValueError):
         build_silver(spark, "bronze.europa", "bronze.europa")
+
+
+def test_describe_extended_shows_table_detail(spark):
+    root = scratch_dir(spark, "describe")
+    db = unique_name("d")
+    tables.create_database(spark, db, f"{root}/{db}.db")
+    tables.write_layer(spark.createDataFrame([("E0",)], "League string"), f"{db}.europa")
+    rows = {r.col_name: r.data_type for r in tables.describe_extended(spark, f"{db}.europa").collect()}
+    assert rows["League"] == "string" and "Location" in rows and rows["Provider"] == "parquet"
