@@ -40,9 +40,13 @@ def build_silver(
     table: str = "silver.europa",
     location: str | None = None,
     partition_by: list[str] | None = None,
+    sort_within: list[str] | None = None,
 ) -> DataFrame:
     """Enrich the stored bronze table into the silver table in one job.
 
+    ``sort_within`` clusters each output file (e.g. by home and away team for
+    fixture lookups) without a shuffle.
+
     Silver is always its own table: a table cannot be overwritten by a job
     that reads it, so the source's in-place updates become a new table.
     """
@@ -52,5 +56,6 @@ def build_silver(
     if db:
         create_database(spark, db, location)
     drop_table(spark, table)
-    write_layer(enrich(read_layer(spark, bronze_table)), table, partition_by=partition_by)
+    write_layer(enrich(read_layer(spark, bronze_table)), table, partition_by=partition_by,
+                sort_within=sort_within)
     return read_layer(spark, table)

@@ -54,12 +54,18 @@ def write_layer(
     comments: Mapping[str, str] | None = None,
     partition_by: Sequence[str] | None = None,
     fmt: str = "parquet",
+    sort_within: Sequence[str] | None = None,
 ) -> None:
     """Write ``df`` as managed table ``table`` with column comments.
 
     ``partition_by`` (e.g. league, season) enables partition pruning for
     multi-season data; the default writes an unpartitioned table.
+    ``sort_within`` sorts each task's rows before writing (no shuffle), so the
+    parquet min/max statistics let lookups on those columns (e.g. home and
+    away team) skip most row groups.
     """
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
     writer = with_comments(df, comments).write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

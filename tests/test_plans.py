@@ -62,3 +62,19 @@ def test_outcome_share_reads_one_column(stored):
     _, s = stored
     (schema,) = read_schema(outcome_share(s, "HTR"))
     assert schema == "struct<HTR:string>"
+
+
+def test_sorted_layer_write_needs_no_shuffle(spark, stored):
+    from oddsframe.sources import tables
+    from oddsframe.session import unique_name
+
+    _, s = stored
+    db = unique_name("sorted")
+    tables.create_database(spark, db, scratch_dir(spark, f"{db}.db"))
+    tables.write_layer(s, f"{db}.europa", sort_within=["HomeTeam", "AwayTeam"])
+    back = spark.table(f"{db}.europa")
+    assert back.count() == s.count()
+    ops = physical_operators(s.sortWithinPartitions("HomeTeam", "AwayTeam"))
+    assert "Sort" in ops and "Exchange" not in ops
+    (filters,) = pushed_filters(match_lookup(back, "T3", "T10"))
+    assert "EqualTo(HomeTeam,T3)" in filters
