@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..operators.analysis import hit_rate, house_dispersion, match_lookup, outcome_share
 from ..operators.enrich import MARGIN_COLUMN, add_margin, decode_league, enrich, silver_columns
-from ..operators.quality import max_reconcile, mean_reconcile
+from ..operators.quality import max_reconcile, mean_reconcile, mismatch_counts
 from ..operators.quality import dictionary_audit, schema_difference
 from ..schema import DOCUMENTED, HOUSE_CODES, OUTCOMES, raw_name
 from ..session import scratch_dir, unique_name
@@ -253,6 +253,22 @@ def _audit_sql(kind: str) -> str:
 _register("max_reconcile", lambda spark, sf: max_reconcile(bronze(spark, sf)), _audit_sql("max"))
 _register("strict_mean_audit", lambda spark, sf: mean_reconcile(bronze(spark, sf)), _audit_sql("mean"))
 
+
+def _mismatch_sql() -> str:
+    parts = ["COUNT(*) AS matches"]
+    for o, w in zip(OUTCOMES, ("home", "draw", "away")):
+        qs = [f"{h}{o}" for h in HOUSE_CODES]
+        best = f"GREATEST({', '.join(qs)})"
+        mean = f"ROUND(({' + '.join(qs)}) / {len(qs)}.0, 2)"
+        parts.append(f"CAST(SUM(CASE WHEN ABS({best} - Max{o}) > 0.005 THEN 1 ELSE 0 END) AS BIGINT)"
+                     f" AS max_differs_{w}")
+        parts.append(f"CAST(SUM(CASE WHEN ABS({mean} - Avg{o}) > 0.005 THEN 1 ELSE 0 END) AS BIGINT)"
+                     f" AS avg_differs_{w}")
+    return with_silver(f"SELECT {', '.join(parts)} FROM bronze")
+
+
+_register("mismatch_counts", lambda spark, sf: mismatch_counts(bronze(spark, sf)), _mismatch_sql())
+
 # --- league decode (D4, C7, F5) ----------------------------------------------
 
 _register(
