@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.analysis import hit_rate, house_dispersion, match_lookup, outcome_share
+from ..operators.analysis import (
+    favourite_summary,
+    hit_rate,
+    house_dispersion,
+    match_lookup,
+    outcome_share,
+)
 from ..operators.enrich import MARGIN_COLUMN, add_margin, decode_league, enrich, silver_columns
 from ..operators.quality import max_reconcile, mean_reconcile, mismatch_counts
 from ..operators.quality import dictionary_audit, schema_difference
@@ -174,6 +180,19 @@ WHERE FTR = VencedorAposta
 GROUP BY silver.League, totals.total"""),
 )
 
+_register(
+    "favourite_summary_league",
+    lambda spark, sf: favourite_summary(silver(spark, sf), by="league"),
+    with_silver("""
+SELECT League AS league, COUNT(*) AS matches,
+       CAST(SUM(CASE WHEN FTR = VencedorAposta THEN 1 ELSE 0 END) AS BIGINT) AS hits,
+       CAST(SUM(CASE WHEN FTR = VencedorAposta THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / COUNT(*)
+         AS hit_pct,
+       SUM(CAST(Percentual AS DOUBLE)) / COUNT(Percentual) AS weighted_pct
+FROM silver
+GROUP BY League"""),
+)
+
 # --- dispersion and outcome shares (D22, D23) ---------------------------------
 
 _register(
