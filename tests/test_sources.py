@@ -185,3 +185,19 @@ def test_describe_extended_shows_table_detail(spark):
     tables.write_layer(spark.createDataFrame([("E0",)], "League string"), f"{db}.europa")
     rows = {r.col_name: r.data_type for r in tables.describe_extended(spark, f"{db}.europa").collect()}
     assert rows["League"] == "string" and "Location" in rows and rows["Provider"] == "parquet"
+
+
+def test_command_line_builds_layers_and_prints_reports(spark, capsys):
+    from oddsframe.__main__ import main
+
+    root = scratch_dir(spark, "cli")
+    _write(f"{root}/src/E0.csv", [
+        HEADER,
+        "E0,11-08-2023,20:00,Burnley,Man City,0,3,A,A,8.0,5.5,1.33,1.5",
+        "E0,12-08-2023,15:00,Arsenal,Forest,2,1,H,H,1.2,7.0,13.0,1.4",
+    ])
+    suffix = unique_name("cli")
+    main(["--sources", f"{root}/src", "--bronze", f"b_{suffix}.europa",
+          "--silver", f"s_{suffix}.europa", "--location", f"{root}/wh"])
+    out = capsys.readouterr().out
+    assert "favourite hit rate, absolute" in out and "100.00" in out and "Inglaterra" in out
