@@ -117,6 +117,9 @@ def main() -> None:
         "match_lookup": lambda: match_lookup(silver, "T3", "T10").collect(),
     }
     reference_shapes = {
+        "ref_hit_rate_abs": """
+            SELECT COUNT(*) * 100.0 / (SELECT COUNT(*) FROM europa) AS percentual
+            FROM europa WHERE FTR = VencedorAposta""",
         "ref_house_dispersion": _ref_dispersion_sql("europa"),
         "ref_hit_rate_abs_league": """
             SELECT europa.League, COUNT(*) * 100.0 / total_por_div AS percentual_div
