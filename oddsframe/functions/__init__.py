@@ -5,25 +5,25 @@ from .numbers import as_text, percent
 from .quotes import (
     best_quote,
     best_quote_sql,
+    consensus_quote,
     consensus_sql,
+    differs,
     differs_sql,
+    favourite,
     favourite_sql,
     ident,
-    implied_sql,
-    normalised_sql,
-    overround_sql,
-    realised_sql,
-    sql_string,
-    strict_mean_sql,
-    consensus_quote,
-    differs,
-    favourite,
     implied_probability,
+    implied_sql,
     normalised_probability,
+    normalised_sql,
     overround,
+    overround_sql,
     quotes_for,
     realised_probability,
+    realised_sql,
+    sql_string,
     strict_mean_quote,
+    strict_mean_sql,
 )
 
 __all__ = [

@@ -22,7 +22,6 @@ from ..functions.quotes import (
     favourite,
     favourite_sql,
     ident,
-    sql_string,
     implied_probability,
     implied_sql,
     normalised_probability,
@@ -31,6 +30,7 @@ from ..functions.quotes import (
     overround_sql,
     realised_probability,
     realised_sql,
+    sql_string,
 )
 from ..schema import (
     BEST_PREFIX,
