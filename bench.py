@@ -27,6 +27,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from oddsframe.operators.analysis import (  # noqa: E402
     hit_rate,
+    hit_rate_levels,
     house_dispersion,
     match_lookup,
     outcome_share,
@@ -138,6 +139,9 @@ def main() -> None:
     }
     for name, fn in reports.items():
         queries[name] = _median(fn)
+    # Every hit-rate level (overall, league, month; both rates) in one scan,
+    # against the six separate reports above.
+    queries["hit_rate_all_levels"] = _median(lambda: hit_rate_levels(silver).collect())
     for name, sql in reference_shapes.items():
         queries[name] = _median(lambda sql=sql: spark.sql(sql).collect())
 

@@ -9,6 +9,7 @@ Everything is built from Spark's own expressions; see README.md.
 from .operators.analysis import (
     favourite_summary,
     hit_rate,
+    hit_rate_levels,
     house_dispersion,
     match_lookup,
     outcome_share,
@@ -37,6 +38,7 @@ __all__ = [
     "favourite_summary",
     "get_session",
     "hit_rate",
+    "hit_rate_levels",
     "house_dispersion",
     "ingest",
     "match_lookup",

@@ -133,6 +133,41 @@ def hit_rate(
     return out
 
 
+def hit_rate_levels(
+    silver: DataFrame, levels: Sequence[str] = ("league", "month"), result: str = "FTR"
+) -> DataFrame:
+    """Overall and per-level hit rates, absolute and weighted, in ONE scan.
+
+    The source answers each level with its own query (and table scan); here
+    ``GROUPING SETS`` expands every row once per level inside the scan's
+    stage and a single aggregate produces all of them.  Columns: ``level``
+    (``'overall'`` or the level name), one key column per level (null on
+    other levels), ``matches``, ``hits``, ``hit_pct``, ``weighted_pct``.
+    """
+    # Keys are projected first and grouped by name: grouping sets over
+    # aliased expressions would be treated as extra grouping columns.
+    keyed = silver.select(*[GROUPINGS[name]() for name in levels],
+                          F.col(result), F.col(PICK_COLUMN), F.col(REALISED_COLUMN))
+    hit = F.col(result) == F.col(PICK_COLUMN)
+    p = F.col(REALISED_COLUMN).cast("double")
+    grouped = keyed.groupingSets([[name] for name in levels] + [[]], *levels).agg(
+        F.grouping_id().alias("_gid"),
+        F.count(F.lit(1)).alias("matches"),
+        F.count_if(hit).alias("hits"),
+        F.try_divide(F.sum(p), F.count(p)).alias("weighted_pct"),
+    )
+    full = (1 << len(levels)) - 1          # grouping_id of the overall row
+    level = F.when(F.col("_gid") == full, F.lit("overall"))
+    for i, name in enumerate(levels):
+        level = level.when(F.col("_gid") == full - (1 << (len(levels) - 1 - i)), F.lit(name))
+    out = grouped.select(
+        level.alias("level"), *list(levels), "matches", "hits",
+        percent(F.col("hits"), F.col("matches")).alias("hit_pct"), "weighted_pct",
+    )
+    # A handful of rows (one per league / month plus one): sort in one partition.
+    return out.repartition(1).sortWithinPartitions("level", F.col("hit_pct").desc_nulls_last())
+
+
 def house_dispersion(
     silver: DataFrame, houses: Sequence[tuple[str, str]] = HOUSES, digits: int = 3
 ) -> DataFrame:

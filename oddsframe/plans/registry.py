@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ..operators.analysis import (
     favourite_summary,
     hit_rate,
+    hit_rate_levels,
     house_dispersion,
     match_lookup,
     outcome_share,
@@ -193,6 +194,27 @@ FROM silver
 GROUP BY League"""),
 )
 
+_HITS = "SUM(CASE WHEN FTR = VencedorAposta THEN 1 ELSE 0 END)"
+_LEVEL_COLUMNS = (f"COUNT(*) AS matches, CAST({_HITS} AS BIGINT) AS hits, "
+                  f"CAST({_HITS} AS DOUBLE) * 100.0 / COUNT(*) AS hit_pct, "
+                  "SUM(CAST(Percentual AS DOUBLE)) / COUNT(Percentual) AS weighted_pct")
+
+_register(
+    "hit_rate_all_levels",
+    lambda spark, sf: hit_rate_levels(silver(spark, sf)),
+    with_silver(f"""
+SELECT 'overall' AS level, CAST(NULL AS VARCHAR) AS league, CAST(NULL AS INTEGER) AS month,
+       {_LEVEL_COLUMNS}
+FROM silver
+UNION ALL
+SELECT 'league' AS level, League AS league, CAST(NULL AS INTEGER) AS month, {_LEVEL_COLUMNS}
+FROM silver GROUP BY League
+UNION ALL
+SELECT 'month' AS level, CAST(NULL AS VARCHAR) AS league, CAST(MONTH(DateMatch) AS INTEGER) AS month,
+       {_LEVEL_COLUMNS}
+FROM silver GROUP BY MONTH(DateMatch)"""),
+)
+
 # --- dispersion and outcome shares (D22, D23) ---------------------------------
 
 _register(

@@ -165,3 +165,32 @@ def test_share_denominator_keeps_dropped_groups(spark):
            for r in hit_rate(_silver(spark, rows), by="league", share_of_total=True,
                              drop_empty=True).collect()}
     assert got == {"E0": (50.0, 25.0)}    # 1 hit of all 4 matches, F1 dropped
+
+
+def test_all_levels_in_one_pass(spark):
+    from oddsframe.operators.analysis import hit_rate_levels
+
+    rows = [
+        match(1, FAV_H, ftr="H", league="E0", date=dt.date(2023, 8, 1)),
+        match(2, FAV_H, ftr="D", league="E0", date=dt.date(2023, 9, 1)),
+        match(3, FAV_H, ftr="H", league="I1", date=dt.date(2023, 9, 2)),
+        match(4, FAV_H, ftr=None, league="I1", date=dt.date(2023, 8, 3)),
+    ]
+    silver = _silver(spark, rows)
+    got = {(r.level, r.league, r.month): (r.matches, r.hits, r.hit_pct)
+           for r in hit_rate_levels(silver).collect()}
+    assert got[("overall", None, None)] == (4, 2, 50.0)
+    assert got[("league", "E0", None)] == (2, 1, 50.0)
+    assert got[("league", "I1", None)] == (2, 1, 50.0)
+    assert got[("month", None, 8)] == (2, 1, 50.0)
+    assert got[("month", None, 9)] == (2, 1, 50.0)
+    assert len(got) == 5
+
+
+def test_all_levels_plan_is_one_scan(spark):
+    from oddsframe.operators.analysis import hit_rate_levels
+    from oddsframe.plans.inspect import physical_operators
+
+    silver = _silver(spark, [match(1, FAV_H)])
+    ops = physical_operators(hit_rate_levels(silver))
+    assert "Expand" in ops and not {"BroadcastHashJoin", "SortMergeJoin"} & set(ops)

@@ -78,3 +78,14 @@ def test_sorted_layer_write_needs_no_shuffle(spark, stored):
     assert "Sort" in ops and "Exchange" not in ops
     (filters,) = pushed_filters(match_lookup(back, "T3", "T10"))
     assert "EqualTo(HomeTeam,T3)" in filters
+
+
+def test_all_levels_read_the_table_once(stored):
+    from oddsframe.operators.analysis import hit_rate_levels
+
+    _, s = stored
+    df = hit_rate_levels(s)
+    ops = physical_operators(df)
+    assert ops.count("Expand") == 1 and not JOINS & set(ops)
+    (schema,) = read_schema(df)          # one scan for overall + league + month
+    assert "B365H" not in schema and "League" in schema and "DateMatch" in schema
