@@ -13,7 +13,15 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from oddsframe import enrich, get_session, hit_rate, house_dispersion, match_lookup, outcome_share  # noqa: E402
+from oddsframe import (  # noqa: E402
+    enrich,
+    get_session,
+    hit_rate,
+    hit_rate_levels,
+    house_dispersion,
+    match_lookup,
+    outcome_share,
+)
 from oddsframe.plans.inspect import plan_text  # noqa: E402
 from oddsframe.plans.registry import bronze  # noqa: E402
 from oddsframe.session import scratch_dir  # noqa: E402
@@ -39,6 +47,7 @@ def main() -> None:
         ("hit_rate(by='league')", hit_rate(s, by="league")),
         ("hit_rate(by='month', weighted=True)", hit_rate(s, by="month", weighted=True)),
         ("hit_rate(by='league', share_of_total=True)", hit_rate(s, by="league", share_of_total=True)),
+        ("hit_rate_levels (overall + league + month in one scan)", hit_rate_levels(s)),
         ("house_dispersion", house_dispersion(s)),
         ("outcome_share('HTR')", outcome_share(s)),
         ("match_lookup('T3', 'T10')", match_lookup(s, "T3", "T10")),
