@@ -440,10 +440,17 @@ def _table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     current database), so the caller's session state is never touched.
     """
     db = _fresh_database(spark, "bronze")
-    sibling = spark.newSession()
-    tables.use_database(sibling, db)
-    tables.drop_table(sibling, "europa")
-    tables.write_layer(bronze(sibling, sf), "europa")
+    try:
+        session = spark.newSession()
+    except Exception:  # e.g. Spark Connect: switch and restore instead
+        session = spark
+    previous = session.catalog.currentDatabase()
+    tables.use_database(session, db)
+    try:
+        tables.drop_table(session, "europa")
+        tables.write_layer(bronze(session, sf), "europa")
+    finally:
+        tables.use_database(session, previous)
     return tables.read_layer(spark, f"{db}.europa")
 
 

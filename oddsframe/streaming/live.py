@@ -33,7 +33,10 @@ def stream_session(spark: SparkSession, state_partitions: int = 8) -> SparkSessi
     fixed into the checkpoint when a query first starts; the caller's own
     session settings are left alone.
     """
-    sibling = spark.newSession()
+    try:
+        sibling = spark.newSession()
+    except Exception:  # e.g. Spark Connect: keep the caller's session as is
+        return spark
     sibling.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
     return sibling
 
