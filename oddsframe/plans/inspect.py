@@ -22,7 +22,14 @@ def physical_operators(df: DataFrame) -> list[str]:
     (e.g. ``['AdaptiveSparkPlan', 'HashAggregate', 'Exchange', ...]``)."""
     text = plan_text(df, "formatted")
     header = text.split("\n\n")[0]
-    return re.findall(r"([A-Z][A-Za-z]+)(?: \[[^\]]*\])? \(\d+\)", header)
+    names = []
+    for line in header.splitlines()[1:]:          # skip "== Physical Plan =="
+        if re.search(r"\(\d+\)\s*$", line):
+            # tree prefix ("+- ", ":- ", "* " codegen marker), then the name
+            m = re.match(r"^[\s:+\-|*]*([A-Za-z][A-Za-z0-9]*)", line)
+            if m:
+                names.append(m.group(1))
+    return names
 
 
 def count(df: DataFrame, operator: str) -> int:
