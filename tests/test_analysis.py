@@ -194,3 +194,16 @@ def test_all_levels_plan_is_one_scan(spark):
     silver = _silver(spark, [match(1, FAV_H)])
     ops = physical_operators(hit_rate_levels(silver))
     assert "Expand" in ops and not {"BroadcastHashJoin", "SortMergeJoin"} & set(ops)
+
+
+def test_grouping_by_any_column_expression(spark):
+    from pyspark.sql import functions as F
+
+    rows = [
+        match(1, FAV_H, ftr="H", date=dt.date(2023, 8, 1)),
+        match(2, FAV_H, ftr="D", date=dt.date(2024, 8, 1)),
+        match(3, FAV_H, ftr="H", date=dt.date(2024, 9, 1)),
+    ]
+    df = hit_rate(_silver(spark, rows), by=F.year("DateMatch").alias("year"))
+    assert df.columns == ["year", "hit_pct"]
+    assert [(r.year, r.hit_pct) for r in df.collect()] == [(2023, 100.0), (2024, 50.0)]
