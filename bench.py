@@ -18,7 +18,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -79,10 +78,11 @@ def _ref_dispersion_sql(view: str) -> str:
 
 def main() -> None:
     spark = _session()
-    from oddsframe.session import checkpoint_root
+    from oddsframe.session import scratch_dir
 
-    root = checkpoint_root(spark)
-    work = tempfile.mkdtemp(prefix="bench-", dir=root if "://" not in root else None)
+    # A fresh folder under the session's shared checkpoint root (Spark creates
+    # it on the first write, whatever the filesystem scheme).
+    work = scratch_dir(spark, "bench")
     bronze_path, silver_path = f"{work}/bronze", f"{work}/silver"
     # Setup: a bronze table of several files, as a real table would be.
     bronze(spark, SF_DIR).repartition(int(CPUS)).write.mode("overwrite").parquet(bronze_path)
