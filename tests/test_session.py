@@ -44,3 +44,10 @@ def test_registers_a_private_folder_only_when_unset():
     first = checkpoint_root(s)
     assert os.path.isdir(first) and s.sparkContext.dir == first
     assert checkpoint_root(s) == first     # reused, not a new folder each call
+
+
+def test_scratch_dir_keeps_uri_roots():
+    s = _Session({"spark.checkpoint.dir": "file:/tmp/ck/"})
+    assert scratch_dir(s, "y").startswith("file:/tmp/ck/oddsframe-y-")
+    s3 = _Session({"spark.checkpoint.dir": "s3a://bucket/ck"})
+    assert scratch_dir(s3, "z").startswith("s3a://bucket/ck/oddsframe-z-")
