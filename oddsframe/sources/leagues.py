@@ -145,6 +145,10 @@ def ingest(
     Files are grouped by header; each group is one typed read; groups are
     aligned by column name (a column missing from a group is null there).
     League codes are decoded to display names when ``decode``.
+
+    Each source costs one small header-read job (run concurrently), so at
+    scale pass *folders* -- one per league or season, every file inside
+    sharing a header -- rather than thousands of loose files.
     """
     sources = list(sources)
     groups: dict[tuple[str, ...], list[str]] = {}
