@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: Rules up to which they are sent to every task (about 100 bytes each).
 BROADCAST_RULES = 100_000
 PREFIX_HEX = 8
@@ -46,10 +48,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_column: str = "page_id",
                url_column: str = "url") -> DataFrame:
     """``id_column, host, path, rule, verdict`` for every page; ``rules`` has
     ``host, path, verdict``."""
-    rules = (rules.where("host is not null and path is not null and verdict is not null")
-             .select(F.translate("host", _UPPER, _LOWER).alias("host"), "path", "verdict")
-             .groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-             .withColumn("digest", _digest(F.col("host"), F.col("path"))).persist())
+    rules = cut(rules.where("host is not null and path is not null and verdict is not null")
+                .select(F.translate("host", _UPPER, _LOWER).alias("host"), "path", "verdict")
+                .groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+                .withColumn("digest", _digest(F.col("host"), F.col("path"))))
     lengths = rules.agg(F.sort_array(F.collect_set(F.length("path"))).alias("lengths"),
                         F.count("*").alias("n")).first()
     longest = max(lengths["lengths"], default=0)
@@ -77,8 +79,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_column: str = "page_id",
                .withColumn("short", F.substring("digest", 1, PREFIX_HEX))
                .join(listed, "short").where("digest = full"))
     rank = F.struct(F.length("rule").alias("length"), F.length("suffix").alias("host_length"), "rule", "ruled")
-    best = (matched.groupBy("host", "head").agg(F.max(rank).alias("best"))
-            .select("host", "head", F.col("best.rule").alias("rule"), F.col("best.ruled").alias("ruled")))
+    # Written, so that the join deals both sides out by key and can split a hot one.
+    best = cut(matched.groupBy("host", "head").agg(F.max(rank).alias("best"))
+               .select("host", "head", F.col("best.rule").alias("rule"), F.col("best.ruled").alias("ruled")))
     return (pages.join(best, ["host", "head"], "left")
             .select(F.col("id").alias(id_column), "host", "path", "rule",
                     F.coalesce("ruled", F.lit("allow")).alias("verdict")))
