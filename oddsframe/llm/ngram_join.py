@@ -31,6 +31,7 @@ are ignored; an empty table gives no rows.  Sets are named by a 64-bit hash.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +50,7 @@ FREQUENT_SIGMAS = 8
 #: Classes of a tile that one task compares at once.
 BLOCK = 1024
 _CELLS = 1 << 21  # 64-bit words compared at a time
+_SMALL = 12  # tiles under this many classes are compared with plain integers
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -84,6 +86,35 @@ def may_link(na: np.ndarray, nb: np.ndarray, differing: np.ndarray, percent: int
     return np.where(fits, most / (na + nb - most), 0.0)
 
 
+def small_tile_pairs(names: list[int], groups: list[int], sizes: list[int], maps: list[bytes],
+                     percent: int, every: bool) -> list[tuple[int, int]]:
+    """``tile_pairs`` for a few classes, with plain integers."""
+    best: dict[int, tuple[float, int]] = {}
+    found = []
+    for i in range(len(names)):
+        for j in range(i + 1, len(names)):
+            na, nb = sizes[i], sizes[j]
+            if groups[i] == groups[j] or 100 * min(na, nb) < percent * max(na, nb):
+                continue
+            x, y = int.from_bytes(maps[i]), int.from_bytes(maps[j])
+            wide, narrow = max(len(maps[i]), len(maps[j])) * 8, min(len(maps[i]), len(maps[j])) * 8
+            if wide > narrow:  # sizes of linked sets are at most one band apart
+                if wide > 2 * narrow:
+                    continue
+                x, y = (x, y) if len(maps[i]) > len(maps[j]) else (y, x)
+                x = (x >> narrow) ^ (x & ((1 << narrow) - 1))
+            most = min((na + nb - (x ^ y).bit_count()) >> 1, na, nb)
+            if 100 * most >= percent * (na + nb - most):
+                score = most / (na + nb - most)
+                found.append((i, j))
+                for a, b in ((i, j), (j, i)):
+                    if a not in best or score > best[a][0]:
+                        best[a] = score, b
+    if not every:
+        found = [(a, b) for a, (_, b) in best.items()]
+    return [(min(names[a], names[b]), max(names[a], names[b])) for a, b in found]
+
+
 def tile_pairs(names: np.ndarray, groups: np.ndarray, sizes: np.ndarray, maps: list[bytes],
                percent: int, every: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a tile's classes in different groups that may link: all of
@@ -132,10 +163,11 @@ def ngram_jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column:
     docs = docs.select(row_key(id_column, text_column).alias("row_key"),
                        F.col(f"`{id_column}`").cast("long").alias("id"),
                        F.col(f"`{text_column}`").cast("string").alias("text"))
-    sets = cut(docs.mapInArrow(_describe(words), "row_key long, id long, cls long, n int"))
-    frequent = _frequent(docs, words)
+    told = cut(docs.mapInArrow(_describe(words), "row_key long, id long, cls long, n int, sketch binary"))
+    sets = told.where("sketch is null").drop("sketch")
+    frequent = _frequent(told.where("sketch is not null").select("sketch"))
 
-    entries = docs.select("text").mapInArrow(_prefixes(words, percent, frequent), "shingle long, cls long")
+    entries = cut(docs.select("text").mapInArrow(_prefixes(words, percent, frequent), "shingle long, cls long"))
     shared = (entries.groupBy("shingle").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
               .where("lo < hi").select("shingle"))
     live = cut(entries.join(shared, "shingle").distinct())
@@ -146,8 +178,8 @@ def ngram_jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column:
     def decide(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs.distinct())
         needed = key_filter(pairs.select(F.explode(F.array("a", "b")).alias("cls")))
-        arrays = (docs.select("text").mapInArrow(_arrays(words, needed), "cls long, n int, items binary")
-                  .dropDuplicates(["cls"]).drop("n"))
+        arrays = cut(docs.select("text").mapInArrow(_arrays(words, needed), "cls long, n int, items binary")
+                     .dropDuplicates(["cls"]).drop("n"))
         both = (pairs.join(arrays.select(F.col("cls").alias("a"), F.col("items").alias("left")), "a")
                 .join(arrays.select(F.col("cls").alias("b"), F.col("items").alias("right")), "b"))
         return cut(both.mapInArrow(_intersect(percent), "a long, b long"))
@@ -221,32 +253,43 @@ def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]
 
 
 def _describe(words: int):
+    """A row for each document, and one with the counts of a task's shingles."""
+    size = 1 << SKETCH_BITS
+
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(size, np.int64)
+        names = ["row_key", "id", "cls", "n", "sketch"]
         for batch in batches:
-            sets = [(class_of(s) if len(s) else None, len(s)) for _, s in _sets(batch, words)]
-            yield pa.RecordBatch.from_pydict({
-                "row_key": batch.column("row_key"), "id": batch.column("id"), "cls": pa.array([c for c, _ in sets], pa.int64()),
-                "n": pa.array([n for _, n in sets], pa.int32())})
+            rows, held = [], [np.zeros(0, np.int64)]
+            for _, s in _sets(batch, words):
+                rows.append((class_of(s) if len(s) else None, len(s)))
+                held.append((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
+                if len(held) > 1000:
+                    counts += np.bincount(np.concatenate(held), minlength=size)
+                    held = held[:1]
+            counts += np.bincount(np.concatenate(held), minlength=size)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("row_key"), batch.column("id"), pa.array([c for c, _ in rows], pa.int64()),
+                pa.array([n for _, n in rows], pa.int32()), pa.nulls(len(rows), pa.binary())], names=names)
+        packed = zlib.compress(counts.tobytes(), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([None], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32())]
+                                         + [pa.array([packed], pa.binary())], names=names)
 
     return kernel
 
 
-def _frequent(docs: DataFrame, words: int) -> np.ndarray:
+def _frequent(sketches: DataFrame) -> np.ndarray:
     """A flag for each sketch counter: far more documents than the mean."""
     size = 1 << SKETCH_BITS
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         counts = np.zeros(size, np.int64)
-        held: list[np.ndarray] = []
         for batch in batches:
-            for _, s in _sets(batch, words):
-                held.append((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
-                if len(held) == 1000:
-                    counts += np.bincount(np.concatenate(held), minlength=size)
-                    held = []
-        return counts + np.bincount(np.concatenate([np.zeros(0, np.int64), *held]), minlength=size)
+            for packed in batch.column(0):
+                counts += np.frombuffer(zlib.decompress(packed.as_buffer()), np.int64)
+        return counts
 
-    counts = fold(docs.select("text"), kernel, np.add, np.zeros(size, np.int64))
+    counts = fold(sketches, kernel, np.add, np.zeros(size, np.int64))
     return counts > counts.mean() + FREQUENT_SIGMAS * np.sqrt(counts.mean() + 1)
 
 
@@ -305,10 +348,17 @@ def _tiles(percent: int, every: bool):
             maps = table.column("map").to_pylist()
             starts = group_starts([col["shingle"], col["block"]])
             pairs = []
-            for a, b in zip(starts, [*starts[1:], len(maps)]):
-                if b - a > 1:
+            plain = {k: col[k].tolist() for k in ("cls", "label", "n")}
+            small: list[tuple[int, int]] = []
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(maps)]):
+                if b - a in range(2, _SMALL):
+                    small += small_tile_pairs(plain["cls"][a:b], plain["label"][a:b], plain["n"][a:b], maps[a:b],
+                                              percent, every)
+                elif b - a > 1:
                     pairs.append(tile_pairs(col["cls"][a:b], col["label"][a:b],
                                             col["n"][a:b].astype(np.int64), maps[a:b], percent, every))
+            if small:
+                pairs.append(tuple(np.array(small, np.int64).T))
             if pairs:
                 yield pa.RecordBatch.from_pydict({
                     "a": pa.array(np.concatenate([p[0] for p in pairs])),

@@ -42,7 +42,7 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Chunks and neighbours that a worker remembers.
-MEMO = 400_000
+MEMO = 300_000
 #: A unigram path pays this over the worst piece for an unknown character.
 UNKNOWN_PENALTY = 10.0
 
@@ -104,6 +104,8 @@ class PieceTransducer:
         self.unknown = next((i for i, k in enumerate(self.kind) if k == UNK), 0)
         self.floor = min((self.score[i] for i in usable), default=0.0) - UNKNOWN_PENALTY
         self.rank = {t: (-self.score[i]) for t, i in self.ids.items()}
+        # Neighbouring characters of some piece; no path joins any others.
+        self._pairs = {t[i:i + 2] for t in self.ids for i in range(len(t) - 1)}
         self._chunks = _Memo(self._path)
         self._beside: dict[tuple[str, str], bool] = {}
         self._sides: dict[tuple[str, bool], list[tuple[str, float]] | None] = {}
@@ -133,6 +135,10 @@ class PieceTransducer:
 
     def _path(self, chunk: str) -> bytes:
         """The shortest path through the composition with ``chunk``."""
+        pairs = self._pairs
+        cuts = [i for i in range(1, len(chunk)) if chunk[i - 1:i + 1] not in pairs]
+        if cuts:
+            return b"".join([self._chunks[chunk[a:b]] for a, b in zip([0, *cuts], [*cuts, len(chunk)])])
         pieces = self._constrained(chunk) if self.bpe else self._cheapest(chunk)
         ids: list[int] = []
         for piece in pieces:
@@ -258,7 +264,7 @@ class PieceTransducer:
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         if self._plain[ids].all() if len(ids) else True:
-            text = "".join(map(self._listed.__getitem__, ids))
+            text = "".join(map(self._listed.__getitem__, np.asarray(ids).tolist()))
         else:
             text = self._with_bytes(ids)
         return text[1:] if self.prefix and text.startswith(" ") else text
@@ -282,15 +288,19 @@ class PieceTransducer:
 
 
 class _Memo(dict):
-    """Paths of chunks; short chunks are remembered, ``MEMO`` at most."""
+    """Paths of short chunks: the ``MEMO`` latest new ones, and those of the time
+    before that are still in use."""
 
     def __init__(self, make):
-        self.make = make
+        self.make, self.before = make, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        path = self.make(chunk)
+        path = self.before.get(chunk)
+        if path is None:
+            path = self.make(chunk)
         if len(chunk) <= 64:
             if len(self) >= MEMO:
+                self.before = dict(self)
                 self.clear()
             self[chunk] = path
         return path
@@ -313,24 +323,31 @@ def share_model(docs: DataFrame, path: str) -> str:
 
 
 def encode_pieces(docs: DataFrame, model_path: str, text_column: str = "text",
-                  ids_column: str = "piece_ids") -> DataFrame:
-    """``docs`` with the piece ids of ``text_column`` (an array of ints)."""
+                  ids_column: str = "piece_ids", decoded_column: str | None = None) -> DataFrame:
+    """``docs`` with the piece ids of ``text_column`` (an array of ints), and with
+    what they decode to if ``decoded_column`` names a column for it."""
     name = share_model(docs, model_path)
-    columns = [c for c in docs.columns if c != ids_column]
+    columns = [c for c in docs.columns if c not in (ids_column, decoded_column)]
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                encode = _compiled(name).encode_bytes
+                encode, decode = _compiled(name).encode_bytes, _compiled(name).decode
                 paths = [encode(t.as_py() or "") for t in part.column(text_column)]
                 ends = np.cumsum([0, *map(len, paths)]) // 4
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
                                                pa.array(np.frombuffer(b"".join(paths), np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*columns, ids_column])
+                more = {ids_column: ids}
+                if decoded_column:
+                    more[decoded_column] = pa.array([decode(np.frombuffer(p, np.int32)) for p in paths], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, *more.values()], names=[*columns, *more])
 
     frame = docs.select(*[F.col(f"`{c}`") for c in columns])
-    return frame.mapInArrow(kernel, frame.select("*", F.array().cast("array<int>").alias(ids_column)).schema)
+    added = [F.array().cast("array<int>").alias(ids_column)]
+    if decoded_column:
+        added.append(F.lit(None).cast("string").alias(decoded_column))
+    return frame.mapInArrow(kernel, frame.select("*", *added).schema)
 
 
 def decode_pieces(docs: DataFrame, model_path: str, ids_column: str = "piece_ids",

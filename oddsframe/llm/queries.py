@@ -18,7 +18,7 @@ from .html_wrapper import main_text
 from .language_id import identify_languages
 from .ngram_join import NGRAM_SQL, ngram_jaccard_join
 from .passages import repeated_passages
-from .piece_transducer import decode_pieces, encode_pieces
+from .piece_transducer import encode_pieces
 from .pii import span_report
 from .url_rules import RULES, URL_SQL, judge_urls
 
@@ -56,7 +56,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_sentencepiece")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = decode_pieces(encode_pieces(docs, MODEL_PATH), MODEL_PATH)
+    both = encode_pieces(docs, MODEL_PATH, decoded_column="decoded")
     return both.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"),
                        F.sha2(F.array_join("piece_ids", ","), 256).alias("ids_sha256"),
                        (F.col("decoded") == F.col("text")).alias("round_trip"))

@@ -3,7 +3,7 @@
 A word is a run of bytes other than space, tab, line feed, vertical tab, form
 feed and carriage return; A-Z count as a-z.  Hashes come from prefix sums over
 the batch's own UTF-8 buffer: no Python string is made.  Work goes by slices of
-about a megabyte, so memory does not follow the length of a text.
+a quarter of a megabyte, so memory does not follow the length of a text.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ import xxhash
 
 from .common import mix
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Bytes of text taken at a time.
-CHUNK = 8 << 20
+CHUNK = 2 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 1 << 64, 256, np.uint64, endpoint=False) | np.uint64(1)
