@@ -21,7 +21,7 @@ from oddsframe.llm.decontamination import decontaminate
 from oddsframe.llm.language_id import identify_languages
 from oddsframe.llm.ngram_join import one_of_each_group
 from oddsframe.llm.pii import sanitise
-from oddsframe.llm.piece_transducer import decode_pieces, encode_pieces
+from oddsframe.llm.piece_transducer import encode_pieces
 from oddsframe.llm.queries import MODEL_PATH
 from oddsframe.session import ship_package
 
@@ -47,7 +47,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    coded = decode_pieces(encode_pieces(docs, MODEL_PATH), MODEL_PATH)
+    coded = encode_pieces(docs, MODEL_PATH, decoded_column="decoded")
     return coded.select("doc_id", "lang", "source", F.size("piece_ids").cast("long").alias("n_pieces"),
                         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"), "piece_ids")
 
