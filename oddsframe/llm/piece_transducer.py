@@ -42,7 +42,7 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Chunks and neighbours that a worker remembers.
-MEMO = 300_000
+MEMO = 200_000
 #: A unigram path pays this over the worst piece for an unknown character.
 UNKNOWN_PENALTY = 10.0
 
@@ -107,7 +107,7 @@ class PieceTransducer:
         # Neighbouring characters of some piece; no path joins any others.
         self._pairs = {t[i:i + 2] for t in self.ids for i in range(len(t) - 1)}
         self._chunks = _Memo(self._path)
-        self._beside: dict[tuple[str, str], bool] = {}
+        self._beside: dict[int, bool] = {}
         self._sides: dict[tuple[str, bool], list[tuple[str, float]] | None] = {}
         # The longest piece that starts with these two characters.
         self._reach: dict[str, int] = {}
@@ -119,6 +119,10 @@ class PieceTransducer:
         # A chunk: space marks and what follows up to the next mark.
         self._split = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
 
+    def rest(self) -> None:
+        """Give up the older memo between tasks; the worker may be idle for long."""
+        self._chunks.before = {}
+
     def normalise(self, text: str) -> str:
         if self.squeeze:
             text = re.sub(" +", " ", text.strip(" "))
@@ -139,9 +143,10 @@ class PieceTransducer:
         cuts = [i for i in range(1, len(chunk)) if chunk[i - 1:i + 1] not in pairs]
         if cuts:
             return b"".join([self._chunks[chunk[a:b]] for a, b in zip([0, *cuts], [*cuts, len(chunk)])])
-        pieces = self._constrained(chunk) if self.bpe else self._cheapest(chunk)
+        if self.bpe:
+            return self._constrained(chunk)
         ids: list[int] = []
-        for piece in pieces:
+        for piece in self._cheapest(chunk):
             ids += self._written(piece)
         return struct.pack(f"={len(ids)}i", *ids)
 
@@ -164,32 +169,42 @@ class PieceTransducer:
             end -= len(back[end])
         return path[::-1]
 
-    def _constrained(self, chunk: str) -> list[str]:
+    def _constrained(self, chunk: str) -> bytes:
         """The one path of finite cost, longest arcs first.  A prefix has one
         segmentation only, so a place from which no arc leads on is dead for all."""
-        if chunk in self.rank:
-            return [chunk]
-        known, may, size, reach = self.rank, self._may_follow, len(chunk), self._reach
-        path: list[str] = []
+        get, beside, reach, size = self.ids.get, self._beside, self._reach, len(chunk)
+        path: list[int] = []  # piece ids, -1 for a character that is no piece
+        ends = [0]
         dead: set[int] = set()
-        at, length = 0, reach.get(chunk[:2], 1)
+        at, length, last = 0, reach.get(chunk[:2], 1), -1
         while at < size:
-            length = min(length, size - at)
             while length:
-                piece = chunk[at:at + length]
-                if ((length == 1 or piece in known) and at + length not in dead
-                        and (not path or may(path[-1], piece))):
-                    break
+                piece = get(chunk[at:at + length], -1)
+                if (piece >= 0 or length == 1) and at + length not in dead:
+                    if last < 0 or piece < 0:  # only pieces merge
+                        break
+                    may = beside.get(last << 20 | piece)
+                    if may is None:
+                        may = self._may_follow(last, piece)
+                    if may:
+                        break
                 length -= 1
             if length:
                 path.append(piece)
                 at += length
+                ends.append(at)
+                last = piece
                 length = reach.get(chunk[at:at + 2], 1)
             else:
                 dead.add(at)
-                length = len(path[-1]) - 1
-                at -= len(path.pop())
-        return path
+                path.pop()
+                length = ends.pop() - ends[-1] - 1
+                at = ends[-1]
+                last = path[-1] if path else -1
+        if -1 in path:
+            spelt = [self._written(chunk[a:b]) if i < 0 else [i] for i, a, b in zip(path, ends, ends[1:])]
+            path = [i for ids in spelt for i in ids]
+        return struct.pack(f"={len(path)}i", *path)
 
     def _written(self, piece: str) -> list[int]:
         if piece in self.ids:
@@ -232,13 +247,11 @@ class PieceTransducer:
             until = self.rank[piece]
             piece = halves[1] if right else halves[0]
 
-    def _may_follow(self, left: str, right: str) -> bool:
+    def _may_follow(self, left: int, right: int) -> bool:
         """Would the merges leave these two pieces side by side?"""
-        found = self._beside.get((left, right))
-        if found is None:
-            if len(self._beside) >= MEMO:
-                self._beside.clear()
-            found = self._beside[left, right] = self._stay_apart(left, right)
+        if len(self._beside) >= MEMO:
+            self._beside.clear()
+        found = self._beside[left << 20 | right] = self._stay_apart(self.text[left], self.text[right])
         return found
 
     def _stay_apart(self, left: str, right: str) -> bool:
@@ -342,6 +355,7 @@ def encode_pieces(docs: DataFrame, model_path: str, text_column: str = "text",
                 if decoded_column:
                     more[decoded_column] = pa.array([decode(np.frombuffer(p, np.int32)) for p in paths], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, *more.values()], names=[*columns, *more])
+        _compiled(name).rest()
 
     frame = docs.select(*[F.col(f"`{c}`") for c in columns])
     added = [F.array().cast("array<int>").alias(ids_column)]

@@ -201,9 +201,13 @@ def _term_spans(wanted: np.ndarray):
     return kernel
 
 
-def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                  support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """``docs`` with ``pii_spans``: an array of ``start, end, kind`` for each row."""
+    return _with_spans(docs, id_column, text_column, clean=False, **options)
+
+
+def _with_spans(docs: DataFrame, id_column: str, text_column: str, clean: bool, support: int = SUPPORT,
+                disclosure: float = DISCLOSURE) -> DataFrame:
     terms = revealing_terms(docs, text_column, support, disclosure)
     keyed = docs.withColumn("__key", row_key(id_column, text_column))
     if terms.isEmpty():
@@ -217,60 +221,54 @@ def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     keyed = keyed.withColumn("__terms", spare) if extra is None else (
         keyed.join(extra, F.col("__key") == F.col("key"), "left").drop("key")
         .withColumn("__terms", F.coalesce("__terms", spare)))
-    spans = F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>")
-    schema = keyed.drop("__key", "__terms").withColumn("pii_spans", spans).schema
-    columns = [c for c in docs.columns if c != "pii_spans"]
+    columns = list(docs.columns)
+    if not clean:
+        columns = [c for c in columns if c != "pii_spans"]
+        spans = F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>")
+        schema = docs.select(*[F.col(f"`{c}`") for c in columns], spans.alias("pii_spans")).schema
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
+                texts = part.column(text_column).cast(pa.string()).to_pylist()
                 rows = []
-                for text, found in zip(part.column(text_column).cast(pa.string()), part.column("__terms")):
-                    spans = base_spans(text.as_py() or "")
+                for text, found in zip(texts, part.column("__terms")):
+                    spans = base_spans(text or "")
                     found = found.as_py()
                     if found:
                         free = [(t["start"], t["end"], "term") for t in found
                                 if not any(s < t["end"] and t["start"] < e for s, e, _ in spans)]
                         spans = sorted(spans + free, key=lambda s: (s[0], KINDS.index(s[2])))
-                    rows.append([{"start": s, "end": e, "kind": k} for s, e, k in spans])
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], pa.array(rows, kind)],
+                    rows.append(spans)
+                if clean:
+                    texts = pa.array([sanitised(t, s) if s else t for t, s in zip(texts, rows)], pa.string())
+                    out = [texts if c == text_column else part.column(c) for c in columns]
+                    yield pa.RecordBatch.from_arrays(out, names=columns)
+                    continue
+                listed = pa.array([[{"start": s, "end": e, "kind": k} for s, e, k in r] for r in rows], kind)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], listed],
                                                  names=[*columns, "pii_spans"])
 
-    return keyed.drop("__key").mapInArrow(kernel, schema)
+    return keyed.drop("__key").mapInArrow(kernel, docs.schema if clean else schema)
 
 
-def sanitised(text: str, spans: list[dict]) -> str:
+def sanitised(text: str, spans: list[Span]) -> str:
     """``text`` with base spans generalised to their kind and terms removed."""
     out, free = [], 0
-    for span in spans:
-        if span["end"] <= free:
+    for start, end, kind in spans:
+        if end <= free:
             continue
-        start = max(span["start"], free)
-        out.append(text[free:start])
-        out.append("" if span["kind"] == "term" else f"[{span['kind'].upper()}]")
-        free = span["end"]
+        out.append(text[free:max(start, free)])
+        out.append("" if kind == "term" else f"[{kind.upper()}]")
+        free = end
     return "".join(out) + text[free:]
 
 
 def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """``docs`` with personal data out of ``text_column``; same columns."""
-    found = personal_data(docs, id_column, text_column, **options)
-    columns = list(docs.columns)
-
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans, texts = batch.column("pii_spans"), batch.column(text_column)
-            count = spans.value_lengths().to_numpy(zero_copy_only=False)
-            clean = texts.to_pylist()
-            for i in np.flatnonzero(count > 0):
-                clean[i] = sanitised(clean[i], spans[int(i)].as_py())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(clean, pa.string()) if c == text_column else batch.column(c) for c in columns],
-                names=columns)
-
-    return found.mapInArrow(kernel, docs.schema)
+    return _with_spans(docs, id_column, text_column, clean=True, **options)
 
 
 def span_digest(spans: list[Span]) -> str:
