@@ -365,11 +365,12 @@ def main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
     rows = pages.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{url_column}`").cast("string").alias("url"),
                         F.col(f"`{html_column}`").cast("string").alias("html"))
     rows = rows.withColumn("host", _host(F.col("url"))).withColumn("size", F.length(F.coalesce("html", F.lit(""))))
-    mean = rows.groupBy("host").agg(F.avg("size").alias("mean"))
-    nearest = F.min(F.struct(F.abs(F.col("size") - F.col("mean")).alias("off"), F.col("id").cast("string").alias("id"),
-                             F.xxhash64("html").alias("key"))).alias("best")
-    chosen = rows.select("host", "id", "size", "html").join(mean, "host").groupBy("host").agg(nearest).select(
-        "host", F.col("best.key").alias("key"))
+    # Pages are told by a hash here: no html moves, and the chosen few go to all tasks
+    # or, if they are many, meet their pages in a join that splits hot hosts.
+    facts = rows.select("host", "size", F.col("id").cast("string").alias("id"), F.xxhash64("html").alias("key"))
+    mean = cut(facts.groupBy("host").agg(F.avg("size").alias("mean")))
+    nearest = F.min(F.struct(F.abs(F.col("size") - F.col("mean")).alias("off"), "id", "key")).alias("best")
+    chosen = cut(facts.join(mean, "host").groupBy("host").agg(nearest).select("host", F.col("best.key").alias("key")))
     source = (rows.withColumn("key", F.xxhash64("html")).join(chosen, ["host", "key"], "left_semi")
               .dropDuplicates(["host", "key"]).select("host", "html"))
     trees = cut(source.mapInArrow(_references, "host string, tree string"))
