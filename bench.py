@@ -5,9 +5,7 @@ the match table at ``$BENCH_SF_DIR`` is stored as parquet once (untimed
 setup; ``build_silver`` times the enrichment write and ``ingest_csv`` the
 league-CSV -> bronze load, same median protocol), then
 every report runs 3 warm-ups and 5 timed ``collect()`` runs; the median is
-reported.  ``ref_*`` entries run the source analysis' own query shapes
-(self-join, ``UNION ALL``) as Spark SQL on the same stored table, for a
-side-by-side view of the one-pass rewrites.
+reported.
 
 Prints ONE JSON line.
 """
@@ -34,7 +32,6 @@ from oddsframe.operators.analysis import (  # noqa: E402
 from oddsframe.operators.enrich import enrich  # noqa: E402
 from oddsframe.plans.registry import MATCH_ID_TYPE, bronze, export_leagues  # noqa: E402
 from oddsframe.sources.leagues import ingest  # noqa: E402
-from oddsframe.schema import HOUSES, OUTCOMES  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -66,16 +63,6 @@ def _median(fn) -> float:
     return statistics.median(times)
 
 
-def _ref_dispersion_sql(view: str) -> str:
-    words = ("Home", "Draw", "Away")
-    parts = []
-    for code, name in HOUSES:
-        cols = ", ".join(f"ROUND(STDDEV({code}{o} - Media{o}), 3) AS DesvioPadrao{w}"
-                         for o, w in zip(OUTCOMES, words))
-        parts.append(f"SELECT '{name}' AS Casa_aposta, {cols} FROM {view}")
-    return " UNION ALL ".join(parts)
-
-
 def main() -> None:
     spark = _session()
     from oddsframe.session import scratch_dir
@@ -104,7 +91,6 @@ def main() -> None:
     queries["ingest_csv"] = _median(load)
 
     silver = spark.read.parquet(silver_path)
-    silver.createOrReplaceTempView("europa")
 
     reports = {
         "hit_rate_abs": lambda: hit_rate(silver).collect(),
@@ -117,34 +103,11 @@ def main() -> None:
         "outcome_share_half": lambda: outcome_share(silver, "HTR").collect(),
         "match_lookup": lambda: match_lookup(silver, "T3", "T10").collect(),
     }
-    reference_shapes = {
-        "ref_hit_rate_abs": """
-            SELECT COUNT(*) * 100.0 / (SELECT COUNT(*) FROM europa) AS percentual
-            FROM europa WHERE FTR = VencedorAposta""",
-        "ref_house_dispersion": _ref_dispersion_sql("europa"),
-        "ref_hit_rate_abs_league": """
-            SELECT europa.League, COUNT(*) * 100.0 / total_por_div AS percentual_div
-            FROM europa JOIN (SELECT League AS subquery_Div, COUNT(*) AS total_por_div
-                              FROM europa GROUP BY League) AS subquery
-              ON europa.League = subquery.subquery_Div
-            WHERE FTR = VencedorAposta
-            GROUP BY europa.League, total_por_div ORDER BY percentual_div DESC""",
-        "ref_hit_rate_abs_month": """
-            SELECT mes, COUNT(*) * 100.0 / total_por_mes AS percentual
-            FROM (SELECT MONTH(DateMatch) AS mes, COUNT(*) AS total_por_mes
-                  FROM europa GROUP BY MONTH(DateMatch)) AS subquery
-            JOIN europa ON MONTH(europa.DateMatch) = subquery.mes
-            WHERE FTR = VencedorAposta
-            GROUP BY mes, total_por_mes ORDER BY percentual DESC""",
-    }
     for name, fn in reports.items():
         queries[name] = _median(fn)
     # Every hit-rate level (overall, league, month; both rates) in one scan,
     # against the six separate reports above.
     queries["hit_rate_all_levels"] = _median(lambda: hit_rate_levels(silver).collect())
-    for name, sql in reference_shapes.items():
-        queries[name] = _median(lambda sql=sql: spark.sql(sql).collect())
-
     headline = [q for q in reports]
     result = {
         "metric": "headline_reports_median_sum",

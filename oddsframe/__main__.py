@@ -27,8 +27,8 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session(master=args.master)
     where = (lambda db: f"{args.location.rstrip('/')}/{db}.db") if args.location else (lambda db: None)
-    build_bronze(spark, args.sources, args.bronze, where(args.bronze.split(".")[0]))
-    silver = build_silver(spark, args.bronze, args.silver, where(args.silver.split(".")[0]))
+    build_bronze(spark, args.sources, args.bronze, where(args.bronze.rpartition(".")[0]))
+    silver = build_silver(spark, args.bronze, args.silver, where(args.silver.rpartition(".")[0]))
 
     reports = [
         ("favourite hit rate, absolute", hit_rate(silver, formatted=True)),

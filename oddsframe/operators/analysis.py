@@ -94,6 +94,8 @@ def hit_rate(
     ``share_pct`` = group hits as a percent of all matches.  Rows are sorted
     by the numeric rate, descending; ``formatted`` turns rates into text last.
     """
+    if weighted and (drop_empty or share_of_total):
+        raise ValueError("drop_empty and share_of_total count hits: they go with the absolute rate only")
     keys = _key(by)
     bounded = isinstance(by, str) and by in GROUPINGS
     if weighted:
@@ -124,7 +126,7 @@ def hit_rate(
             if keys:
                 out = out.where(F.col(out.columns[0]).isNotNull())
     key_names = [out.columns[0]] if keys else []
-    extra = ["share_pct"] if (share_of_total and not weighted) else []
+    extra = ["share_pct"] if share_of_total else []
     out = out.select(*key_names, value, *extra)
     if keys:
         out = _sorted_report(out, value, bounded=bounded)

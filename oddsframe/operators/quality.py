@@ -127,35 +127,27 @@ def column_profile(df: DataFrame) -> DataFrame:
     return counts.selectExpr(f"inline(array({rows}))")
 
 
-BROADCAST_DICTIONARY_MAX_ROWS = 100_000
-
-
 def dictionary_audit(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Attach dictionary descriptions to the table's columns.
 
     ``dictionary`` has ``(column_name, description)`` rows.  Output, one row
     per column of ``df`` or of the dictionary: ``column_name, data_type, description,
-    in_table, documented, non_null``.  Both sides have one row per column.
-    The dictionary is broadcast only after checking it has at most
-    ``BROADCAST_DICTIONARY_MAX_ROWS`` entries (a bounded ``limit().count()``);
-    a larger one goes through a regular shuffle join.
+    in_table, documented, non_null``.
     """
-    spark = df.sparkSession
-    types = spark.createDataFrame(
+    types = df.sparkSession.createDataFrame(
         [(f.name, f.dataType.simpleString()) for f in df.schema.fields],
         "column_name string, data_type string",
     )
-    profile = column_profile(df).join(types, "column_name")
     described = dictionary.select("column_name", "description").dropDuplicates(["column_name"])
-    small = described.limit(BROADCAST_DICTIONARY_MAX_ROWS + 1).count() <= BROADCAST_DICTIONARY_MAX_ROWS
-    return (
-        profile.join(F.broadcast(described) if small else described, "column_name", "full_outer")
-        .select(
-            "column_name",
-            "data_type",
-            "description",
-            F.col("data_type").isNotNull().alias("in_table"),
-            F.col("description").isNotNull().alias("documented"),
-            F.coalesce(F.col("non_null"), F.lit(0).cast("long")).alias("non_null"),
-        )
+    present = column_profile(df).join(types, "column_name").join(described, "column_name", "left")
+    absent = (described.join(types, "column_name", "left_anti")
+              .withColumn("data_type", F.lit(None).cast("string"))
+              .withColumn("non_null", F.lit(0).cast("long")))
+    return present.unionByName(absent).select(
+        "column_name",
+        "data_type",
+        "description",
+        F.col("data_type").isNotNull().alias("in_table"),
+        F.col("description").isNotNull().alias("documented"),
+        "non_null",
     )

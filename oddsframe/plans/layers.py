@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..operators.enrich import enrich
 from ..sources.leagues import ingest
-from ..sources.tables import create_database, drop_table, read_layer, write_layer
+from ..sources.tables import create_database, read_layer, write_layer
 
 
 def build_bronze(
@@ -26,10 +26,9 @@ def build_bronze(
     partition_by: list[str] | None = None,
 ) -> DataFrame:
     """Ingest league files into the bronze table (replaced, not appended)."""
-    db = table.split(".")[0] if "." in table else None
+    db = table.rpartition(".")[0]
     if db:
         create_database(spark, db, location)
-    drop_table(spark, table)
     write_layer(ingest(spark, sources, extra_types=extra_types), table, partition_by=partition_by)
     return read_layer(spark, table)
 
@@ -52,10 +51,9 @@ def build_silver(
     """
     if table.lower() == bronze_table.lower():
         raise ValueError("silver must be a different table from bronze")
-    db = table.split(".")[0] if "." in table else None
+    db = table.rpartition(".")[0]
     if db:
         create_database(spark, db, location)
-    drop_table(spark, table)
     write_layer(enrich(read_layer(spark, bronze_table)), table, partition_by=partition_by,
                 sort_within=sort_within)
     return read_layer(spark, table)

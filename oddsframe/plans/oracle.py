@@ -1,11 +1,5 @@
-"""SQL text for the DuckDB oracle.
-
-The oracle deliberately keeps the *source analysis' shapes*: UPDATE-style
-column formulas, a self-join against per-group totals, a scalar subquery for
-the grand total, one ``UNION ALL`` branch per bookmaker.  The engine side
-uses the one-pass DataFrame forms, so agreement is a real equivalence check
-of the rewrites, not a comparison of a query with itself.
-"""
+"""SQL text for the DuckDB oracle: the layers' column formulas and, per report,
+the definition of the figure."""
 
 from __future__ import annotations
 
@@ -70,15 +64,13 @@ def with_silver(body: str) -> str:
     return f"WITH {_silver_ctes()}\n{body}"
 
 
-def dispersion_union() -> str:
-    branches = []
-    for code, name in HOUSES:
-        cols = ", ".join(
-            f"ROUND(STDDEV_SAMP({code}{o} - Media{o}), 3) AS sd_{w}"
-            for o, w in zip(OUTCOMES, ("home", "draw", "away"))
-        )
-        branches.append(f"SELECT '{name}' AS house, {cols} FROM silver")
-    return "\nUNION ALL\n".join(branches)
+def dispersion_sql() -> str:
+    """One row per house and match, grouped by house."""
+    rows = ", ".join(
+        "{" + ", ".join([f"'house': '{name}'", *[f"'{o}': {code}{o} - Media{o}" for o in OUTCOMES]]) + "}"
+        for code, name in HOUSES)
+    spread = ", ".join(f"ROUND(STDDEV_SAMP(d.{o}), 3) AS sd_{w}" for o, w in zip(OUTCOMES, ("home", "draw", "away")))
+    return f"SELECT d.house AS house, {spread} FROM (SELECT unnest([{rows}]) AS d FROM silver) GROUP BY d.house"
 
 
 def fmt2(expr: str) -> str:

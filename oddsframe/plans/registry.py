@@ -33,7 +33,7 @@ from ..sources import tables
 from ..sources.harness import harness_columns, matches, referee_sql
 from ..streaming import live
 from .layers import build_bronze, build_silver
-from .oracle import dispersion_union, fmt2, with_silver
+from .oracle import dispersion_sql, fmt2, with_silver
 
 LOOKUP_HOME, LOOKUP_AWAY = "T3", "T10"
 
@@ -74,32 +74,22 @@ _register(
     "hit_rate_abs_league",
     lambda spark, sf: hit_rate(silver(spark, sf), by="league"),
     with_silver("""
-SELECT silver.League AS league,
-       CAST(COUNT(*) AS DOUBLE) * 100.0 / totals.total AS hit_pct
-FROM silver
-JOIN (SELECT League AS total_league, COUNT(*) AS total FROM silver GROUP BY League) AS totals
-  ON silver.League = totals.total_league
-WHERE FTR = VencedorAposta
-GROUP BY silver.League, totals.total
-ORDER BY hit_pct DESC"""),
+SELECT League AS league, CAST(COUNT(*) FILTER (WHERE FTR = VencedorAposta) AS DOUBLE) * 100.0 / COUNT(*) AS hit_pct
+FROM silver GROUP BY League"""),
 )
 
 _register(
     "hit_rate_abs",
     lambda spark, sf: hit_rate(silver(spark, sf)),
     with_silver("""
-SELECT CAST(COUNT(*) AS DOUBLE) * 100.0 / (SELECT COUNT(*) FROM bronze) AS hit_pct
-FROM silver
-WHERE FTR = VencedorAposta"""),
+SELECT CAST(COUNT(*) FILTER (WHERE FTR = VencedorAposta) AS DOUBLE) * 100.0 / COUNT(*) AS hit_pct FROM silver"""),
 )
 
 _register(
     "hit_rate_abs_fmt",
     lambda spark, sf: hit_rate(silver(spark, sf), formatted=True),
     with_silver(f"""
-SELECT {fmt2("CAST(COUNT(*) AS DOUBLE) * 100.0 / (SELECT COUNT(*) FROM bronze)")} AS hit_pct
-FROM silver
-WHERE FTR = VencedorAposta"""),
+SELECT {fmt2("CAST(COUNT(*) FILTER (WHERE FTR = VencedorAposta) AS DOUBLE) * 100.0 / COUNT(*)")} AS hit_pct FROM silver"""),
 )
 
 _register(
@@ -122,15 +112,9 @@ _register(
     "hit_share_league",
     lambda spark, sf: hit_rate(silver(spark, sf), by="league", share_of_total=True),
     with_silver("""
-SELECT silver.League AS league,
-       CAST(COUNT(*) AS DOUBLE) * 100.0 / totals.total AS hit_pct,
-       CAST(COUNT(*) AS DOUBLE) * 100.0 / (SELECT COUNT(*) FROM silver) AS share_pct
-FROM silver
-JOIN (SELECT League AS total_league, COUNT(*) AS total FROM silver GROUP BY League) AS totals
-  ON silver.League = totals.total_league
-WHERE FTR = VencedorAposta
-GROUP BY silver.League, totals.total
-ORDER BY hit_pct DESC"""),
+SELECT League AS league, CAST(COUNT(*) FILTER (WHERE FTR = VencedorAposta) AS DOUBLE) * 100.0 / COUNT(*) AS hit_pct,
+       CAST(COUNT(*) FILTER (WHERE FTR = VencedorAposta) AS DOUBLE) * 100.0 / SUM(COUNT(*)) OVER () AS share_pct
+FROM silver GROUP BY League"""),
 )
 
 _register(
@@ -147,14 +131,8 @@ _register(
     "hit_rate_abs_month",
     lambda spark, sf: hit_rate(silver(spark, sf), by="month"),
     with_silver("""
-SELECT CAST(totals.month AS INTEGER) AS month,
-       CAST(COUNT(*) AS DOUBLE) * 100.0 / totals.total AS hit_pct
-FROM (SELECT MONTH(DateMatch) AS month, COUNT(*) AS total
-      FROM silver GROUP BY MONTH(DateMatch)) AS totals
-JOIN silver ON MONTH(silver.DateMatch) = totals.month
-WHERE FTR = VencedorAposta
-GROUP BY totals.month, totals.total
-ORDER BY hit_pct DESC"""),
+SELECT CAST(MONTH(DateMatch) AS INTEGER) AS month, CAST(COUNT(*) FILTER (WHERE FTR = VencedorAposta) AS DOUBLE) * 100.0 / COUNT(*) AS hit_pct
+FROM silver GROUP BY MONTH(DateMatch)"""),
 )
 
 _register(
@@ -172,13 +150,19 @@ _register(
     "hit_rate_abs_league_fmt",
     lambda spark, sf: hit_rate(silver(spark, sf), by="league", formatted=True),
     with_silver(f"""
-SELECT silver.League AS league,
-       {fmt2("CAST(COUNT(*) AS DOUBLE) * 100.0 / totals.total")} AS hit_pct
-FROM silver
-JOIN (SELECT League AS total_league, COUNT(*) AS total FROM silver GROUP BY League) AS totals
-  ON silver.League = totals.total_league
-WHERE FTR = VencedorAposta
-GROUP BY silver.League, totals.total"""),
+SELECT League AS league, {fmt2("CAST(COUNT(*) FILTER (WHERE FTR = VencedorAposta) AS DOUBLE) * 100.0 / COUNT(*)")} AS hit_pct
+FROM silver GROUP BY League"""),
+)
+
+_register(
+    "hit_rate_date_nonempty",
+    lambda spark, sf: hit_rate(silver(spark, sf), by="DateMatch", drop_empty=True, share_of_total=True),
+    with_silver("""
+SELECT DateMatch, CAST(hits AS DOUBLE) * 100.0 / matches AS hit_pct,
+       CAST(hits AS DOUBLE) * 100.0 / SUM(matches) OVER () AS share_pct
+FROM (SELECT DateMatch, COUNT(*) AS matches, COUNT(*) FILTER (WHERE FTR = VencedorAposta) AS hits
+      FROM silver GROUP BY DateMatch)
+QUALIFY hits > 0 AND DateMatch IS NOT NULL"""),
 )
 
 _register(
@@ -220,7 +204,7 @@ FROM silver GROUP BY MONTH(DateMatch)"""),
 _register(
     "house_dispersion",
     lambda spark, sf: house_dispersion(silver(spark, sf)),
-    with_silver(dispersion_union()),
+    with_silver(dispersion_sql()),
 )
 
 
@@ -336,6 +320,11 @@ _SQL_TYPES = {"STRING": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz",
 
 def export_leagues(spark: SparkSession, sf_dir: str) -> list[str]:
     """Write the match table as raw per-league CSV folders; return them."""
+    return league_io.league_folders(spark, export_folder(spark, sf_dir))
+
+
+def export_folder(spark: SparkSession, sf_dir: str) -> str:
+    """One folder with the CSV files of all leagues, one of which has an extra column."""
     out = scratch_dir(spark, "leagues")
     raw = league_io.to_raw_layout(matches(spark, sf_dir))
     drift = F.when(F.col("Div") == F.lit(DRIFT_LEAGUE), F.expr(referee_sql("MatchId")))
@@ -343,9 +332,9 @@ def export_leagues(spark: SparkSession, sf_dir: str) -> list[str]:
     # two partitioned writes, each a single distributed job.
     league_io.write_league_files(
         league_io.to_raw_layout(matches(spark, sf_dir), {"Referee": drift})
-        .where(F.col("Div") == F.lit(DRIFT_LEAGUE)), out, mode="append")
-    league_io.write_league_files(raw.where(F.col("Div") != F.lit(DRIFT_LEAGUE)), out, mode="append")
-    return league_io.league_folders(spark, out)
+        .where(F.col("Div").eqNullSafe(F.lit(DRIFT_LEAGUE))), out, mode="append")
+    league_io.write_league_files(raw.where(~F.col("Div").eqNullSafe(F.lit(DRIFT_LEAGUE))), out, mode="append")
+    return out
 
 
 def _league_of(folder: str) -> str:
@@ -412,6 +401,13 @@ def _flat_ingest(spark: SparkSession, sf: str) -> DataFrame:
 _register("flat_ingest_union", _flat_ingest, with_silver("SELECT * FROM bronze"))
 
 
+def _mixed_folder(spark: SparkSession, sf: str) -> DataFrame:
+    return league_io.ingest(spark, [export_folder(spark, sf)], extra_types=MATCH_ID_TYPE)
+
+
+_register("mixed_folder_ingest", _mixed_folder, with_silver("SELECT * FROM bronze"))
+
+
 def _schema_difference(spark: SparkSession, sf: str) -> DataFrame:
     headers = {_league_of(f): league_io.header_of(spark, f) for f in export_leagues(spark, sf)}
     return schema_difference(spark, headers)
@@ -532,10 +528,11 @@ _register("column_audit", _column_audit, _column_audit_sql())
 
 
 def _landing(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
-    """Match files landing in date order: four files, each a range of dates."""
+    """Match files landing in date order, each a range of dates; as many as the
+    session's shuffle makes of the table's size."""
     landing = scratch_dir(spark, "landing")
     batch = matches(spark, sf)
-    batch.repartitionByRange(4, "DateMatch", "MatchId").write.parquet(landing)
+    batch.repartitionByRange("DateMatch", "MatchId").write.parquet(landing)
     return landing, batch
 
 

@@ -163,9 +163,21 @@ def quote_column(house: str, outcome: str) -> str:
 
 
 def present_houses(columns: list[str], houses=HOUSE_CODES) -> tuple[str, ...]:
-    """The houses among ``houses`` whose three 1X2 quote columns all exist."""
+    """The houses among ``houses`` with 1X2 quote columns.
+
+    A house with some of its three columns only is an error, and so is a house
+    without any that the caller named; of the default houses, those that the files
+    do not carry are left out.
+    """
     have = set(columns)
-    found = tuple(h for h in houses if all(quote_column(h, o) in have for o in OUTCOMES))
+    quoted = {h: [quote_column(h, o) in have for o in OUTCOMES] for h in houses}
+    partial = [h for h, q in quoted.items() if any(q) and not all(q)]
+    if partial:
+        raise ValueError(f"1X2 quote columns are incomplete for {partial}")
+    found = tuple(h for h, q in quoted.items() if all(q))
+    absent = [h for h in houses if h not in found]
+    if absent and tuple(houses) != tuple(HOUSE_CODES):
+        raise ValueError(f"no 1X2 quote columns for {absent}")
     if not found:
         raise ValueError(f"no 1X2 quote columns for any of {list(houses)}")
     return found

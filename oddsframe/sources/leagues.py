@@ -1,11 +1,11 @@
 """League CSV files: raw scan, typed scan, flat ingest, and export.
 
 Raw files are one CSV per league (and season) with a header row.  Headers
-drift between files (one league carries an extra ``Referee`` column in the
-middle), so files are never read positionally together: each file's header
-is read (one line), files with an identical header are read by *one*
+drift between files, also inside one folder (one league carries an extra
+``Referee`` column in the middle), so each file's own header is read (one
+line), files with an identical header are read by *one*
 distributed ``spark.read.csv`` call with an explicit schema built from that
-header, and the per-header frames are aligned by name with
+header (a file that does not carry it is an error), and the per-header frames are aligned by name with
 ``unionByName(allowMissingColumns=True)``.  The number of reads is the
 number of distinct headers, not the number of files; no type inference pass
 runs over the data.
@@ -44,6 +44,15 @@ def headers_of(spark: SparkSession, paths: Sequence[str], workers: int = 16) ->
         return list(pool.map(lambda p: header_of(spark, p), paths))
 
 
+def source_files(spark: SparkSession, sources: Sequence[str]) -> list[str]:
+    """The files in ``sources`` (files or folders): a listing, no file is read."""
+    if not sources:
+        return []
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+               .load(list(sources)).select("path").distinct())
+    return sorted(r.path for r in listing.collect())
+
+
 def read_strings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """All columns as STRING, named by the header (no inference pass).
 
@@ -85,7 +94,7 @@ def read_typed(
     infer: bool = False,
 ) -> DataFrame:
     """One distributed read of files that share ``header`` (read from the
-    first path when not given).  Malformed numeric cells become null
+    first path when not given); a file with another header raises.  Malformed numeric cells become null
     (PERMISSIVE mode) instead of failing the job.
 
     ``infer=True`` lets Spark infer the types instead (an extra full pass
@@ -99,7 +108,7 @@ def read_typed(
     header = list(header) if header is not None else header_of(spark, paths[0])
     schema = raw_schema(header, extra_types, unknown_type)
     return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .csv(paths))
+            .option("enforceSchema", False).csv(paths))
 
 
 def normalise(
@@ -142,15 +151,15 @@ def ingest(
 ) -> DataFrame:
     """Flat ingest: many league files -> one typed bronze frame.
 
-    Files are grouped by header; each group is one typed read; groups are
+    Sources are files or folders (searched recursively).  Files are grouped by
+    their own header; each group is one typed read; groups are
     aligned by column name (a column missing from a group is null there).
     League codes are decoded to display names when ``decode``.
 
-    Each source costs one small header-read job (run concurrently), so at
-    scale pass *folders* -- one per league or season, every file inside
-    sharing a header -- rather than thousands of loose files.
+    Each file costs one small header-read job (run concurrently), so at scale
+    land few large files rather than thousands of small ones.
     """
-    sources = list(sources)
+    sources = source_files(spark, list(sources))
     groups: dict[tuple[str, ...], list[str]] = {}
     for src, header in zip(sources, headers_of(spark, sources)):
         groups.setdefault(tuple(header), []).append(src)

@@ -16,7 +16,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.quotes import sql_string
 from ..schema import documented_comments
+from ..session import unique_name
 
 
 def _quote_ident(name: str) -> str:
@@ -25,7 +27,7 @@ def _quote_ident(name: str) -> str:
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` (optionally at a shared location)."""
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {sql_string(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote_ident(name)}{where}")
 
 
@@ -63,13 +65,24 @@ def write_layer(
     ``sort_within`` sorts each task's rows before writing (no shuffle), so the
     parquet min/max statistics let lookups on those columns (e.g. home and
     away team) skip most row groups.
+
+    An overwritten table is first written under another name and takes the old
+    one's place only when that has succeeded: a job that fails leaves the old
+    table as it was.
     """
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     writer = with_comments(df, comments).write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    spark = df.sparkSession
+    if mode != "overwrite" or not spark.catalog.tableExists(table):
+        writer.saveAsTable(table)
+        return
+    fresh = unique_name(table)
+    writer.saveAsTable(fresh)
+    drop_table(spark, table)
+    spark.sql(f"ALTER TABLE {_quote_ident(fresh)} RENAME TO {_quote_ident(table)}")
 
 
 def copy_layer(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> None:
@@ -83,15 +96,15 @@ def read_layer(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def display(df: DataFrame, n: int = 20) -> None:
-    """Print the first ``n`` rows untruncated (only ``n`` rows reach the driver)."""
-    df.show(n, truncate=False)
+def display(df: DataFrame, n: int | None = None) -> None:
+    """Print a report untruncated: all its rows (one for each group), or the
+    first ``n`` of a table, of which only ``n`` reach the driver."""
+    df.show(df.count() if n is None else n, truncate=False)
 
 
 def comment_column(spark: SparkSession, table: str, column: str, comment: str) -> None:
     """Set one column comment in the catalog (type unchanged)."""
-    text = comment.replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {_quote_ident(table)} ALTER COLUMN `{column}` COMMENT '{text}'")
+    spark.sql(f"ALTER TABLE {_quote_ident(table)} ALTER COLUMN `{column}` COMMENT {sql_string(comment)}")
 
 
 def describe(spark: SparkSession, table: str) -> DataFrame:

@@ -57,7 +57,8 @@ def match_stream(
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "PERMISSIVE")
+        # A file whose header differs from the schema fails the batch.
+        reader = reader.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(landing)

@@ -7,12 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oddsframe.plans.inspect import physical_operators
+from oddsframe.plans.registry import ORACLE, QUERIES
 from tests.conftest import SF_SMOKE
 from tests.oracle_check import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
