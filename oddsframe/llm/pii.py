@@ -219,7 +219,7 @@ def _with_spans(docs: DataFrame, id_column: str, text_column: str, clean: bool,
                     .agg(F.collect_set(F.struct("start", "end")).alias("__terms")))
     spare = F.array().cast("array<struct<start:bigint,end:bigint>>")
     keyed = keyed.withColumn("__terms", spare) if extra is None else (
-        keyed.join(extra, F.col("__key") == F.col("key"), "left").drop("key")
+        keyed.join(extra.withColumnRenamed("key", "__key"), "__key", "left")
         .withColumn("__terms", F.coalesce("__terms", spare)))
     columns = list(docs.columns)
     if not clean:
