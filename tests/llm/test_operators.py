@@ -19,7 +19,7 @@ from oddsframe.llm.pii import sanitise, span_report
 from oddsframe.llm.piece_transducer import decode_pieces, encode_pieces
 from oddsframe.llm.queries import MODEL_PATH, ORACLE, QUERIES
 from oddsframe.llm.url_rules import RULES, judge_urls
-from tests.conftest import SF_SMOKE
+from tests.conftest import SF_ORACLE, SF_SMOKE
 from tests.oracle_check import compare, duck
 
 #: ``cls``, ``key``, ``label`` and ``words`` are names that the operators use inside.
@@ -241,3 +241,11 @@ def test_repeated_passages(spark):
 def test_queries_match_their_sql(spark, name):
     res = compare(spark, duck(SF_SMOKE), name, QUERIES[name], ORACLE[name], SF_SMOKE)
     assert res["status"] == "OK"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").where("lang is not null").select("doc_id", "lang")
+    found = QUERIES["op7_language_id"](spark, SF_ORACLE).where("held_out").join(docs, "doc_id")
+    right, all_rows = found.where("lang_pred = lang").count(), found.count()
+    print("held-out accuracy", right, "of", all_rows)
+    assert right >= 0.95 * all_rows > 0
