@@ -65,7 +65,7 @@ def implied_sql(quote: str) -> str:
 
 
 def normalised_sql(raw: str, raw_home: str, raw_draw: str, raw_away: str) -> str:
-    denominator = f"CAST({raw_home} AS DOUBLE) + CAST({raw_draw} AS DOUBLE) + CAST({raw_away} AS DOUBLE)"
+    denominator = f"CAST({raw_home} + {raw_draw} + {raw_away} AS DOUBLE)"
     return f"CAST(try_divide(CAST({raw} AS DOUBLE) * 100D, {denominator}) AS FLOAT)"
 
 
@@ -133,9 +133,9 @@ def implied_probability(quote: str) -> Column:
 def normalised_probability(raw: str, raw_home: str, raw_draw: str, raw_away: str) -> Column:
     """Margin-free probability in percent: ``raw * 100 / (h + d + a)``, FLOAT.
 
-    Inputs are the FLOAT raw probabilities; arithmetic is done in DOUBLE and
-    narrowed once at the end, so the result does not depend on ANSI type
-    promotion rules.
+    Inputs are the FLOAT raw probabilities.  They are added in FLOAT, as stored
+    FLOAT columns are; the division is done in DOUBLE (what ANSI promotion makes
+    of FLOAT times INT) and narrowed once at the end, whatever the ANSI setting.
     """
     return F.expr(normalised_sql(ident(raw), ident(raw_home), ident(raw_draw), ident(raw_away)))
 

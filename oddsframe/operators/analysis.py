@@ -141,8 +141,8 @@ def hit_rate_levels(
     """Overall and per-level hit rates, absolute and weighted, in ONE scan.
 
     The source answers each level with its own query (and table scan); here
-    ``GROUPING SETS`` expands every row once per level inside the scan's
-    stage and a single aggregate produces all of them.  Columns: ``level``
+    the table is aggregated once to the combinations of the levels, and
+    ``GROUPING SETS`` roll up those few rows.  Columns: ``level``
     (``'overall'`` or the level name), one key column per level (null on
     other levels), ``matches``, ``hits``, ``hit_pct``, ``weighted_pct``.
     """
@@ -152,11 +152,14 @@ def hit_rate_levels(
                           F.col(result), F.col(PICK_COLUMN), F.col(REALISED_COLUMN))
     hit = F.col(result) == F.col(PICK_COLUMN)
     p = F.col(REALISED_COLUMN).cast("double")
-    grouped = keyed.groupingSets([[name] for name in levels] + [[]], *levels).agg(
+    combined = keyed.groupBy(*levels).agg(
+        F.count(F.lit(1)).alias("_matches"), F.count_if(hit).alias("_hits"),
+        F.sum(p).alias("_sum"), F.count(p).alias("_known"))
+    grouped = combined.groupingSets([[name] for name in levels] + [[]], *levels).agg(
         F.grouping_id().alias("_gid"),
-        F.count(F.lit(1)).alias("matches"),
-        F.count_if(hit).alias("hits"),
-        F.try_divide(F.sum(p), F.count(p)).alias("weighted_pct"),
+        F.coalesce(F.sum("_matches"), F.lit(0)).alias("matches"),
+        F.coalesce(F.sum("_hits"), F.lit(0)).alias("hits"),
+        F.try_divide(F.sum("_sum"), F.sum("_known")).alias("weighted_pct"),
     )
     full = (1 << len(levels)) - 1          # grouping_id of the overall row
     level = F.when(F.col("_gid") == full, F.lit("overall"))

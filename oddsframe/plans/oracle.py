@@ -30,7 +30,7 @@ def _silver_ctes() -> str:
         quoting = " + ".join(f"CASE WHEN {q} IS NOT NULL THEN 1 ELSE 0 END" for q in qs)
         means.append(f"ROUND(({total}) / NULLIF({quoting}, 0), 2) AS Media{o}")
     raw = ", ".join(f"CAST((1.0 / Media{o}) * 100 AS FLOAT) AS PercentAbsol{o}" for o in OUTCOMES)
-    denominator = " + ".join(f"CAST(PercentAbsol{o} AS DOUBLE)" for o in OUTCOMES)
+    denominator = "CAST(" + " + ".join(f"PercentAbsol{o}" for o in OUTCOMES) + " AS DOUBLE)"
     norm = ", ".join(
         f"CAST(CAST(PercentAbsol{o} AS DOUBLE) * 100 / ({denominator}) AS FLOAT) AS Percent{o}"
         for o in OUTCOMES

@@ -25,7 +25,7 @@ from ..operators.analysis import (
 from ..operators.enrich import MARGIN_COLUMN, add_margin, decode_league, enrich, silver_columns
 from ..operators.quality import max_reconcile, mean_reconcile, mismatch_counts
 from ..operators.quality import dictionary_audit, schema_difference
-from ..schema import DOCUMENTED, HOUSE_CODES, OUTCOMES, raw_name
+from ..schema import DOCUMENTED, HOUSE_CODES, LEAGUE_NAMES, OUTCOMES, PICK_COLUMN, raw_name
 from ..session import scratch_dir, unique_name
 from ..sources import dictionary as dictionary_io
 from ..sources import leagues as league_io
@@ -279,6 +279,17 @@ _register("max_reconcile", lambda spark, sf: max_reconcile(bronze(spark, sf)), _
 _register("strict_mean_audit", lambda spark, sf: mean_reconcile(bronze(spark, sf)), _audit_sql("mean"))
 
 
+def _fixture(df: DataFrame) -> DataFrame:
+    return df.where((F.col("HomeTeam") == LOOKUP_HOME) & (F.col("AwayTeam") == LOOKUP_AWAY))
+
+
+_ONE_FIXTURE = f"\nWHERE HomeTeam = '{LOOKUP_HOME}' AND AwayTeam = '{LOOKUP_AWAY}'"
+_register("fixture_max_reconcile", lambda spark, sf: max_reconcile(_fixture(bronze(spark, sf))),
+          _audit_sql("max") + _ONE_FIXTURE)
+_register("fixture_mean_reconcile", lambda spark, sf: mean_reconcile(_fixture(bronze(spark, sf))),
+          _audit_sql("mean") + _ONE_FIXTURE)
+
+
 def _mismatch_sql() -> str:
     parts = ["COUNT(*) AS matches"]
     for o, w in zip(OUTCOMES, ("home", "draw", "away")):
@@ -394,6 +405,32 @@ def _csv_typed_sql() -> str:
 _register("csv_roundtrip_typed", _csv_typed, _csv_typed_sql())
 
 
+# Inference takes team names like "T3" for times of day: they are left to the typed scan.
+INFERRED = ["MatchId", "Div", "FTHG", "FTAG", "FTR", "B365H", "AvgH", "Referee"]
+
+
+def _csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """Inferred-type scan (S2): one read per distinct header, aligned by name."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for folder in export_leagues(spark, sf):
+        groups.setdefault(tuple(league_io.header_of(spark, folder)), []).append(folder)
+    frames = [league_io.read_typed(spark, paths, infer=True) for paths in groups.values()]
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f, allowMissingColumns=True)
+    return union.select(*INFERRED)
+
+
+_register(
+    "csv_inferred",
+    _csv_inferred,
+    with_silver(f"""
+SELECT CAST(MatchId AS INTEGER) AS MatchId, League AS Div, FTHG, FTAG, FTR, B365H, AvgH,
+       CASE WHEN League = '{DRIFT_LEAGUE}' THEN {referee_sql("MatchId")} END AS Referee
+FROM matches"""),
+)
+
+
 def _flat_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return league_io.ingest(spark, export_leagues(spark, sf), extra_types=MATCH_ID_TYPE)
 
@@ -453,6 +490,20 @@ def _table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 _register("table_roundtrip", _table_roundtrip, with_silver("SELECT * FROM bronze"))
 
 
+def _append_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """A silver table with a one-character pick, appended to in two writes."""
+    table = f"{_fresh_database(spark, 'silver')}.europa"
+    rows = silver(spark, sf)
+    tables.create_layer(spark, table, rows, {PICK_COLUMN: "VARCHAR(1)"})
+    first = F.col("League").eqNullSafe(F.lit(LEAGUE_NAMES[DRIFT_LEAGUE]))
+    for part in (rows.where(first), rows.where(~first)):
+        tables.write_layer(part, table, mode="append", comments={})
+    return tables.read_layer(spark, table)
+
+
+_register("append_layer", _append_layer, with_silver("SELECT * FROM silver"))
+
+
 def _ctas(spark: SparkSession, sf: str) -> DataFrame:
     src = _fresh_database(spark, "bronze")
     dst = _fresh_database(spark, "silver")

@@ -99,7 +99,8 @@ def read_typed(
 
     ``infer=True`` lets Spark infer the types instead (an extra full pass
     over the files before the read; kept for parity with ad-hoc loading, not
-    for production -- inferred types may change from file to file).
+    for production -- inferred types may change from file to file, and text
+    such as ``T3`` is taken for a time of day).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if infer:

@@ -85,6 +85,15 @@ def write_layer(
     spark.sql(f"ALTER TABLE {_quote_ident(fresh)} RENAME TO {_quote_ident(table)}")
 
 
+def create_layer(spark: SparkSession, table: str, like: DataFrame, types: Mapping[str, str] | None = None) -> None:
+    """An empty managed table with the columns of ``like``, some of them of
+    another declared type, e.g. ``{"VencedorAposta": "VARCHAR(1)"}``.  Appending a
+    value that is too long for its ``VARCHAR(n)`` raises."""
+    types = types or {}
+    columns = ", ".join(f"`{f.name}` {types.get(f.name, f.dataType.simpleString())}" for f in like.schema.fields)
+    spark.sql(f"CREATE TABLE {_quote_ident(table)} ({columns}) USING parquet")
+
+
 def copy_layer(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> None:
     """``CREATE TABLE target USING fmt AS SELECT * FROM source`` (comments kept)."""
     spark.sql(

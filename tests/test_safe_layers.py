@@ -68,3 +68,16 @@ def test_options_of_the_absolute_rate_are_refused_by_the_weighted(spark):
     df = enrich(frame(spark, [match(1, uniform(2.0, 3.0, 4.0))]))
     with pytest.raises(ValueError):
         hit_rate(df, by="league", weighted=True, drop_empty=True)
+
+
+def test_pick_of_declared_length(spark, tmp_path):
+    db = f"len_{tmp_path.name}".replace("-", "_")
+    tables.create_database(spark, db, str(tmp_path / "db"))
+    rows = spark.createDataFrame([(1, "H")], "MatchId long, VencedorAposta string")
+    tables.create_layer(spark, f"{db}.t", rows, {"VencedorAposta": "VARCHAR(1)"})
+    tables.write_layer(rows, f"{db}.t", mode="append", comments={})
+    tables.write_layer(rows, f"{db}.t", mode="append", comments={})
+    assert spark.table(f"{db}.t").count() == 2
+    with pytest.raises(Exception, match="(?i)exceed"):
+        tables.write_layer(rows.selectExpr("MatchId", "'HH' AS VencedorAposta"), f"{db}.t", mode="append", comments={})
+    assert spark.table(f"{db}.t").count() == 2
