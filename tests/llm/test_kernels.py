@@ -119,6 +119,7 @@ def test_base_spans(parts):
 
 def test_long_runs_of_digits_and_letters_are_read_once():
     assert pii.base_spans("1" * 50_000 + ".2.3.4") == []
+    assert pii.base_spans("." + "1" * 500_000) == []
     assert pii.base_spans("a" * 50_000 + "@") == []
 
 
