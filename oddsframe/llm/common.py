@@ -123,6 +123,20 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return labels
 
 
+def connect(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (as of ``components``) after more ``links``: only the links
+    between the labels held are worked on.  No links leave the labels as they are."""
+    if links.isEmpty():
+        return labels
+    for end in ("a", "b"):
+        held = labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+        links = links.join(held, end, "left").withColumn(end, F.coalesce(f"{end}_label", end)).select("a", "b")
+    found = components(links)
+    moved = labels.join(found.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+    return cut(moved.select("node", F.coalesce("to", "label").alias("label"))
+               .unionByName(found.join(labels.select("node"), "node", "left_anti")))
+
+
 def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Rows of sorted ``batches`` in whole groups of equal ``keys``: one table
     of many groups at a time, the last group of a batch carried on."""

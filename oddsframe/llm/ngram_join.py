@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, fold, group_starts, in_filter, key_filter, partitions, row_key, runs
+from .common import components, connect, cut, fold, group_starts, in_filter, key_filter, partitions, row_key, runs
 from .words import chunks, shingle_sets
 
 #: Counters of the sketch that tells which shingles many documents hold.
@@ -177,6 +177,8 @@ def ngram_jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column:
 
     def decide(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs.distinct())
+        if pairs.isEmpty():
+            return pairs
         needed = key_filter(pairs.select(F.explode(F.array("a", "b")).alias("cls")))
         arrays = cut(docs.select("text").mapInArrow(_arrays(words, needed), "cls long, n int, items binary")
                      .dropDuplicates(["cls"]).drop("n"))
@@ -195,12 +197,10 @@ def ngram_jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column:
     dealt = (first.join(count, "shingle")
              .select("shingle", "cls", F.col("cls").alias("label"),
                      F.expr(f"pmod(xxhash64(cls), ceil(m / {block}))").cast("int").alias("block")))
-    links = decide(propose(dealt, False))
-    labels = components(links)
+    labels = components(decide(propose(dealt, False)))
     # 2: best partners outside the component; 3: all that is left.
     for every in (False, True):
-        links = cut(links.unionByName(decide(propose(_mixed_tiles(live, labels, block), every))))
-        labels = components(links)
+        labels = connect(labels, decide(propose(_mixed_tiles(live, labels, block), every)))
 
     named = sets.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "label", F.coalesce("label", "cls"))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from oddsframe.llm import chat, ngram_join
-from oddsframe.llm.common import components
+from oddsframe.llm.common import components, connect
 from oddsframe.llm.decontamination import contaminated, decontaminate
 from oddsframe.llm.embedding_dedup import near_vectors
 from oddsframe.llm.html_wrapper import main_text
@@ -43,6 +43,16 @@ def test_components_of_paths_and_hubs(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_more_links_for_components(spark):
+    labels = components(spark.createDataFrame([(1, 2), (5, 6), (8, 9)], "a long, b long"))
+    more = spark.createDataFrame([(6, 2), (9, 12), (20, 21), (2, 5)], "a long, b long")
+    got = {(r.node, r.label) for r in connect(labels, more).collect()}
+    assert got == {(1, 1), (2, 1), (5, 1), (6, 1), (8, 8), (9, 8), (12, 8), (20, 20), (21, 20)}
+    assert connect(labels, more.limit(0)) is labels
+    none = labels.limit(0)
+    assert {(r.node, r.label) for r in connect(none, more.where("a = 20")).collect()} == {(20, 20), (21, 20)}
+
+
 def test_ngram_join(spark):
     rng = random.Random(1)
     base = prose(rng, 120)
