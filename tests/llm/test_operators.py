@@ -247,7 +247,7 @@ def test_repeated_passages(spark):
     assert repeated_passages(docs.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("name", ["op5_decontamination", "op6_url_filter"])
+@pytest.mark.parametrize("name", ["op3_ngram_join", "op5_decontamination", "op6_url_filter"])
 def test_queries_match_their_sql(spark, name):
     res = compare(spark, duck(SF_SMOKE), name, QUERIES[name], ORACLE[name], SF_SMOKE)
     assert res["status"] == "OK"
