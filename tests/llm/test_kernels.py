@@ -210,6 +210,12 @@ def test_chains_are_collinear_and_cover_a_planted_passage():
     assert set(range(10)) <= set(found[0])
 
 
+def test_chains_go_on_after_a_long_insertion():
+    x = np.concatenate([np.arange(0, 500, 6), np.arange(600, 700, 6)])
+    y = np.concatenate([np.arange(0, 500, 6), np.arange(500, 600, 6)])
+    assert sorted(map(len, passages.chain(x, y))) == [17, 84]
+
+
 def test_alignment_bridges_edits():
     rng = np.random.default_rng(4)
     a = rng.integers(0, 1 << 60, 120)

@@ -4,6 +4,7 @@ columns and no rows, against brute force."""
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -247,6 +248,38 @@ def test_repeated_passages(spark):
     assert repeated_passages(docs.limit(0)).collect() == []
 
 
+def exact_repeats(texts, n=50):
+    """``(id, place)`` of every run of ``n`` words that a text of a smaller id holds."""
+    held, out = {}, []
+    for i in sorted(texts):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), texts[i] or ""))
+        grams = [tuple(words[p:p + n]) for p in range(len(words) - n + 1)]
+        out += [(i, p) for p, g in enumerate(grams) if held.get(g, i) < i]
+        for g in grams:
+            held.setdefault(g, i)
+    return out
+
+
+def not_reported(texts, rows, n=50):
+    """The exact repeats that no passage of the document covers."""
+    spans = {}
+    for r in rows:
+        spans.setdefault(r[0], []).append((r[1], r[2]))
+    return [(i, p) for i, p in exact_repeats(texts, n)
+            if not any(s <= p and p + n <= e for s, e in spans.get(i, []))]
+
+
+def test_passages_after_a_long_insertion(spark):
+    rng = random.Random(16)
+    first, second, third = prose(rng, 500), prose(rng, 80), prose(rng, 60)
+    texts = dict(enumerate(map(" ".join, [
+        first + second + prose(rng, 30) + third, first + prose(rng, 70) + second + prose(rng, 300) + third,
+        second + prose(rng, 200) + first])))
+    docs = documents(spark, texts.values(), texts)
+    assert len(exact_repeats(texts)) > 900
+    assert not_reported(texts, map(tuple, repeated_passages(docs).collect())) == []
+
+
 @pytest.mark.parametrize("name", ["op3_ngram_join", "op5_decontamination", "op6_url_filter"])
 def test_queries_match_their_sql(spark, name):
     res = compare(spark, duck(SF_SMOKE), name, QUERIES[name], ORACLE[name], SF_SMOKE)
