@@ -4,10 +4,11 @@ Each page becomes a tree of its block elements and text blocks.  Per host, the
 page whose length is nearest to the host's mean is the reference (the smaller id on
 a tie); every page's tree is aligned with the reference's by simple tree matching.
 Over all pages of the host an aligned text block is *constant* when it reads the
-same on every page that has it, on ``MIN_PAGES`` pages or more; constant blocks are
-template, varying slots are content.  Slots that the page itself marks as
-navigation, header, footer, sidebar, notice, advert, form or reader comments
-(elements, roles, class and id words) vary from page to page too and are no content.
+same on every page that has it, on ``MIN_PAGES`` different pages or more (pages of
+the same text count once); constant blocks are template, varying slots are content.
+Slots that the page itself marks as navigation, header, footer, sidebar, notice,
+advert, form or reader comments (elements, roles, class and id words) vary from page
+to page too and are no content.
 
 Statistics are one small row for each host and block, summed on the map side, so
 a host with a third of all pages is no hot spot; the references (one for each
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-#: Pages on which a block must read the same to be template.
+#: Different pages on which a block must read the same to be template.
 MIN_PAGES = 3
 #: Pairs of subtree shapes that a task remembers, and cells of an alignment.
 _MEMO = 100_000
@@ -379,9 +380,10 @@ def main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
         _align, f"id {id_type}, url string, host string, whole long, blocks {_BLOCKS}"))
 
     varied = seen.groupBy("host").agg((F.min("whole") != F.max("whole")).alias("varied"))
-    slots = (seen.select("host", F.inline("blocks")).where("slot is not null")
-             .groupBy("host", "slot").agg(F.min("hash").alias("lo"), F.max("hash").alias("hi"),
-                                          F.count("*").alias("n"))
+    # Copies of a page are one piece of evidence.
+    slots = (seen.select("host", "whole", F.inline("blocks")).where("slot is not null")
+             .groupBy("host", "slot", "whole").agg(F.min("hash").alias("lo"), F.max("hash").alias("hi"))
+             .groupBy("host", "slot").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n"))
              .where((F.col("lo") == F.col("hi")) & (F.col("n") >= min_pages))
              .groupBy("host").agg(F.collect_list("slot").alias("template")))
     template = cut(slots.join(varied.where("varied"), "host", "left_semi"))

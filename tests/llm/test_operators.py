@@ -208,6 +208,19 @@ def test_main_text(spark):
     assert main_text(pages.limit(0)).collect() == []
 
 
+def test_copies_of_a_page_are_one_piece_of_evidence(spark):
+    def page(name, n):
+        lines = "".join(f"<p>{name} line {k}" for k in range(n))
+        return f"<html><div class=k>Same line</div><article>{lines}</article>"
+
+    rows = [(i, f"http://h.com/{i}", page("long", 30)) for i in range(4)]
+    rows += [(10 + i, f"http://h.com/o{i}", page(f"short{i}", 20)) for i in range(4)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, _, _ in rows:
+        name, n = ("long", 30) if i < 10 else (f"short{i - 10}", 20)
+        assert got[i] == "\n".join(f"{name} line {k}" for k in range(n))
+
+
 def test_pii(spark):
     rng = random.Random(5)
     other = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(6))
