@@ -8,7 +8,8 @@ same on every page that has it, on ``MIN_PAGES`` different pages or more (pages
 the same text count once); constant blocks are template, varying slots are content.
 Slots that the page itself marks as navigation, header, footer, sidebar, notice,
 advert, form or reader comments (elements, roles, class and id words) vary from page
-to page too and are no content.
+to page too and are no content; inside an article or main element a class or id counts
+only as a whole (``related-posts``, not ``related-work``).
 
 Statistics are one small row for each host and block, summed on the map side, so
 a host with a third of all pages is no hot spot; the references (one for each
@@ -59,6 +60,9 @@ MARKED = set("ad ads advert adverts advertisement advertisements adsense aside b
              "pager pagination paywall popup promo promoted promotion related reply replies share sharing sidebar "
              "sidebars signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split())
 CONTENT = set("article body content entry main post story".split())
+#: Inside an article a class or id marks a region only if it says nothing but marks and these.
+LAYOUT = set("area articles bar block box button buttons container form group icons inner item items link links list "
+             "outer panel posts section slot unit wrap wrapper".split())
 
 _TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)"""
                   r"""(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>|[!?/][^>]*>)""", re.S)
@@ -103,6 +107,11 @@ def _is_marked(name: str, attrs: dict[str, str], inside: set[str]) -> bool:
             ("no", "without", "has", "with")]
     if not told:
         return False
+    if inside & {"article", "main"} and not any(
+            set(token) & MARKED and set(token) <= MARKED | LAYOUT
+            for token in ([w.lower() for w in _WORDS.findall(t)]
+                          for t in f"{attrs.get('class', '')} {attrs.get('id', '')}".split())):
+        return False
     return not (name.startswith("h") and name[1:].isdigit() or set(told) <= {"header", "body"} and set(words) & CONTENT)
 
 

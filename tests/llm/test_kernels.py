@@ -176,6 +176,13 @@ def test_html_blocks():
     assert read("") == [] and read("<b>x") == ["x"]
 
 
+def test_sections_of_an_article_are_kept():
+    html = ('<article><section id="related-work"><p>r</section><div id="social-history">s</div>'
+            '<p class="notice-period">n</p><div class="share-buttons">b</div><div class="newsletter">l</div></article>'
+            '<div id="social-history">out</div>')
+    assert [b.text for b in html_wrapper.text_blocks(html_wrapper.parse(html)) if not b.marked] == ["r", "s", "n"]
+
+
 def test_tree_matching_is_the_best_one():
     def brute(a, b):
         if a.label != b.label:
