@@ -293,6 +293,22 @@ def test_passages_after_a_long_insertion(spark):
     assert not_reported(texts, map(tuple, repeated_passages(docs).collect())) == []
 
 
+@pytest.mark.parametrize("length, identity, least", [(60, 0.9, 0.97), (60, 0.85, 0.9), (100, 0.85, 0.97)])
+def test_recall_of_edited_passages(spark, length, identity, least):
+    rng = random.Random(26)
+    texts, edits = [], 0
+    for _ in range(100):
+        shared = prose(rng, length)
+        copy = list(shared)
+        for at in rng.sample(range(length), round(length * (1 - identity))):
+            copy[at], edits = f"edit{edits}", edits + 1
+        texts += [" ".join(prose(rng, 30) + shared + prose(rng, 30)), " ".join(prose(rng, 30) + copy + prose(rng, 30))]
+    found = {(r.doc_id, r.ref_id) for r in repeated_passages(documents(spark, texts)).collect()}
+    recall = sum((i + 1, i) in found for i in range(0, 200, 2)) / 100
+    print("recall", length, identity, recall)
+    assert recall >= least
+
+
 @pytest.mark.parametrize("name", ["op3_ngram_join", "op5_decontamination", "op6_url_filter"])
 def test_queries_match_their_sql(spark, name):
     res = compare(spark, duck(SF_SMOKE), name, QUERIES[name], ORACLE[name], SF_SMOKE)
