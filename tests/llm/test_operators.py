@@ -293,6 +293,33 @@ def test_passages_after_a_long_insertion(spark):
     assert not_reported(texts, map(tuple, repeated_passages(docs).collect())) == []
 
 
+def test_exact_repeats_are_whole(spark):
+    rng = random.Random(36)
+    lines = [prose(rng, 25) for _ in range(5)]
+    joined = lines[0] + lines[1] + lines[2]
+    texts = [prose(rng, 30) + lines[k] + prose(rng, 30) for k in range(5)]
+    texts += [prose(rng, 20) + joined + prose(rng, 20), prose(rng, 40) + joined + prose(rng, 5),
+              joined[10:60] + prose(rng, 30), prose(rng, 8) + lines[3][:10] * 9, lines[3][:10] * 30,
+              prose(rng, 20) + ["ha"] * 55 + prose(rng, 20), ["ha"] * 300, ["ha"] * 200 + prose(rng, 50)]
+    texts = {i: " ".join(t) for i, t in enumerate(texts)}
+    texts[20], again = texts[6], texts[11]
+    docs = documents(spark, [*texts.values(), again], [*texts, 20])
+    rows = [tuple(r) for r in repeated_passages(docs).collect()]
+    assert {i for i, _ in exact_repeats(texts)} == {6, 7, 9, 11, 12, 20}
+    assert not_reported(texts, rows) == [] and not_reported({**texts, 20: again}, rows) == []
+    for i, s, e, ref, rs, re_, matched in rows:
+        assert ref < i and min(e - s, re_ - rs) >= 50 and matched >= 0.8 * max(e - s, re_ - rs)
+
+
+@pytest.mark.parametrize("sf", [SF_SMOKE, SF_ORACLE])
+def test_exact_repeats_of_the_given_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = [tuple(r) for r in repeated_passages(docs).collect()]
+    print("runs of 50 words", len(exact_repeats(texts)), "passages", len(rows))
+    assert not_reported(texts, rows) == []
+
+
 @pytest.mark.parametrize("length, identity, least", [(60, 0.9, 0.97), (60, 0.85, 0.9), (100, 0.85, 0.97)])
 def test_recall_of_edited_passages(spark, length, identity, least):
     rng = random.Random(26)
