@@ -17,12 +17,38 @@ from ..session import scratch_dir
 FILTER_BITS = 1 << 23
 
 
+#: Spark's own setting: the shuffle files of a query go when the query has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared checkpoint folder and go on from
-    there, so that a lost executor costs no more than the stage it was in."""
-    path = scratch_dir(df.sparkSession, "cut")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    there, so that a lost executor costs no more than the stage it was in.  The
+    shuffle files of the write are dropped with its end: nobody reads them again."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, "cut")
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove the tables of frames that ``cut`` made and that no later frame reads."""
+    for df in frames:
+        path = getattr(df, "_cut_path", None)
+        if path:
+            context = df.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def row_key(id_column: str, text_column: str) -> Column:
