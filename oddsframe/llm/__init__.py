@@ -11,6 +11,9 @@
 ``html_wrapper``       main text by wrapper induction
 ``pii``                personal data and the terms that disclose it
 ``passages``           repeated fuzzy passages by collinear chaining
+``divergence``         sources compared by a quadtree over their term counts
+``infill``             fill-in-middle over seekable compressed frames
+``warc``               archives written, read and assembled to captures
 =====================  ====================================================
 
 Nothing outside this package imports it; ``queries`` registers its queries.

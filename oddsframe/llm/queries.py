@@ -13,14 +13,17 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .chat import CHAT_SQL, format_chats
 from .decontamination import DECONTAMINATION_SQL, contaminated
+from .divergence import DIVERGENCE_SQL, source_divergence
 from .embedding_dedup import EMBEDDING_SQL, near_vectors
 from .html_wrapper import main_text
+from .infill import INFILL_SQL, fill_in_middle
 from .language_id import identify_languages
 from .ngram_join import NGRAM_SQL, ngram_jaccard_join
 from .passages import repeated_passages
 from .piece_transducer import encode_pieces
 from .pii import span_report
 from .url_rules import RULES, URL_SQL, judge_urls
+from .warc import WARC_SQL, archive_report
 
 #: The SentencePiece model of the registered query and the pipeline.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -103,3 +106,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_passages")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+@_query("op11_divergence", DIVERGENCE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
+@_query("op12_infill", INFILL_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(_table(spark, sf_dir, "documents")).drop("output")
+
+
+@_query("op13_warc", WARC_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_report(_table(spark, sf_dir, "pages"))
