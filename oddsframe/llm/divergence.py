@@ -56,7 +56,7 @@ def terms(text: bytes) -> Iterator[list[bytes]]:
     while at < len(text):
         end = min(at + SLICE, len(text))
         part = text[at:end].translate(_FOLD)
-        while end < len(text) and b" " not in part:  # a term longer than a slice
+        while end < len(text) and part.rfind(b" ") < 1:  # a term longer than a slice
             more = text[end:end + SLICE].translate(_FOLD)
             part += more
             end += len(more)
