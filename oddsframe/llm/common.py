@@ -51,6 +51,14 @@ def release(*frames: DataFrame) -> None:
             folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, or a longer name that no column of ``df`` has (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def row_key(id_column: str, text_column: str) -> Column:
     """A 64-bit hash of a row's id and text, to find the row again."""
     return F.xxhash64(F.col(f"`{id_column}`").cast("string"), F.col(f"`{text_column}`").cast("string"))
@@ -89,6 +97,11 @@ def _slots(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
 
 
+def filter_bits(count: int, most: int = 1 << 27) -> int:
+    """Bits of a filter for ``count`` keys: sixteen each, one megabyte at least, 16 at most."""
+    return min(max(FILTER_BITS, 1 << (16 * count).bit_length()), most)
+
+
 def key_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     """A bit per slot of the long values of ``keys``' only column.  The filter
     has a fixed size; when it fills up it lets more rows through, so it may
@@ -130,22 +143,28 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                  .withColumn("label", F.col("node")))
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        ends = cut(both.groupBy("u").agg(F.min("v").alias("r"))
-                   .select("u", F.least("u", "r").alias("r")))
+        written = cut(both.groupBy("u").agg(F.min("v").alias("r"))
+                      .select("u", F.least("u", "r").alias("r")))
         while True:
+            ends = written.select("u", "r")
             beyond = ends.select(F.col("u").alias("r"), F.col("r").alias("next"))
             further = cut(ends.join(beyond, "r").select("u", F.col("next").alias("r"),
                                                         (F.col("next") != F.col("r")).alias("moved")))
             moved = not further.where("moved").isEmpty()
-            ends = further.drop("moved")
+            release(written)
+            written = further
             if not moved:
                 break
-        labels = cut(labels.join(ends.select(F.col("u").alias("label"), "r"), "label", "left")
-                     .select("node", F.coalesce("r", "label").alias("label")))
-        edges = cut(edges.join(ends.select("u", F.col("r").alias("ru")), "u")
-                    .join(ends.select(F.col("u").alias("v"), F.col("r").alias("rv")), "v")
-                    .select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v"))
-                    .where("u < v").distinct())
+        ends = written.select("u", "r")
+        named = cut(labels.join(ends.select(F.col("u").alias("label"), "r"), "label", "left")
+                    .select("node", F.coalesce("r", "label").alias("label")))
+        left = cut(edges.join(ends.select("u", F.col("r").alias("ru")), "u")
+                   .join(ends.select(F.col("u").alias("v"), F.col("r").alias("rv")), "v")
+                   .select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v"))
+                   .where("u < v").distinct())
+        release(labels, edges, written)
+        labels, edges = named, left
+    release(edges)
     return labels
 
 
@@ -159,8 +178,10 @@ def connect(labels: DataFrame, links: DataFrame) -> DataFrame:
         links = links.join(held, end, "left").withColumn(end, F.coalesce(f"{end}_label", end)).select("a", "b")
     found = components(links)
     moved = labels.join(found.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
-    return cut(moved.select("node", F.coalesce("to", "label").alias("label"))
-               .unionByName(found.join(labels.select("node"), "node", "left_anti")))
+    out = cut(moved.select("node", F.coalesce("to", "label").alias("label"))
+              .unionByName(found.join(labels.select("node"), "node", "left_anti")))
+    release(found)
+    return out
 
 
 def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -8,12 +8,13 @@ agree on one block at least, so an equi-join on the blocks misses none of them.
 Survivors are verified by the weighted Jaccard similarity of their five-word
 shingles (each counted as often as it occurs): ``threshold`` or more.
 
-Windows that share no shingle with the item have similarity 0, so fingerprints
-are made of the windows that align a shared shingle with its place in the item.
-The shared shingles come from a join of all documents with the items'
-shingles, which are broadcast when few (``BROADCAST_SHINGLES``, counted before)
-and shuffled otherwise.  A passage that a third of the documents hold is counted
-by window before it moves.  DataFrame functions only.
+Every window that can reach the threshold is fingerprinted.  A window of similarity ``threshold``
+holds at least ``need = ceil(threshold * n)`` places whose shingle is one of the item's ``n``, so the
+windows looked at are those around ``need`` such places within ``n`` of each other: whole
+ranges of starts, not only those that put a shared shingle at its own place.  The places come from a join of
+all documents with the items' shingles, which are broadcast when few (``BROADCAST_SHINGLES``,
+counted before) and shuffled otherwise; document and item with fewer than ``need``
+places go no further.  DataFrame functions only.
 
 Defined results: null and wordless texts and items match nothing.  Items of fewer
 than five words count as one shingle.  Null ids are compared like any
@@ -29,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, row_key
+from .common import cut, free_name, release, row_key
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -94,8 +95,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
              .withColumn("m", F.size("words")).where("m > 0"))
     items = cut(items.withColumn("ikey", F.xxhash64("item", "words")).distinct())
     sizes = [r[0] for r in items.select(F.least("m", F.lit(SHINGLE))).distinct().collect()]
-    items = items.withColumn("shingles", _short_or_five("words", sizes))
-    wanted = items.select("ikey", "m", F.posexplode("shingles").alias("q", "h"))
+    items = (items.withColumn("shingles", _short_or_five("words", sizes)).withColumn("n", F.size("shingles"))
+             .withColumn("need", F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int")))
+    wanted = items.select("ikey", "m", "n", "need", F.explode(F.array_distinct("shingles")).alias("h"))
     few = wanted.count() <= BROADCAST_SHINGLES
     wanted = F.broadcast(wanted) if few else wanted
 
@@ -105,9 +107,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     found = (rows.select("key", words_of(F.col("text")).alias("words"))
              .select("key", F.explode(runs).alias("run"))
              .select("key", F.posexplode("run.hashes").alias("at", "h")))
-    starts = cut(found.join(wanted, "h")
-                 .groupBy("key", "m", F.greatest(F.col("at") - F.col("q"), F.lit(0)).alias("start"))
-                 .agg(F.count("*").alias("shared")).drop("shared"))
+    places = (found.join(wanted, "h").groupBy("key", "ikey", "m", "n", "need")
+              .agg(F.sort_array(F.collect_set("at")).alias("at")).where(F.size("at") >= F.col("need")))
+    # ``need`` places within n shingles: every start from which a window holds them all.
+    ranges = F.expr("""flatten(transform(sequence(0, size(at) - need), i ->
+        if(at[i + need - 1] - at[i] < n, sequence(greatest(at[i + need - 1] - n + 1, 0), at[i]), array())))""")
+    starts = cut(places.select("key", "m", F.explode(ranges).alias("start")).distinct())
     held = cut(rows.join(starts.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
                .select("key", "id", words_of(F.col("text")).alias("words")))
     windows = cut(starts.join(held, "key").select(
@@ -124,16 +129,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
             .select("key", "start", "m", "ikey", "differing").distinct())
     windows = windows.withColumn("wsh", _short_or_five("window", [*range(1, SHINGLE + 1)]))
     own = items.select("ikey", "item", "shingles")
-    pairs = near.join(windows.select("key", "id", "start", "m", "wsh"), ["key", "start", "m"]).join(
-        F.broadcast(own) if few else own, "ikey")
+    pairs = cut(near.join(windows.select("key", "id", "start", "m", "wsh"), ["key", "start", "m"])
+                .join(F.broadcast(own) if few else own, "ikey"))
+    release(starts, held, windows)
+    name = ["key", "id", "item", "start", "differing"]
+    once = ((F.size(F.array_distinct("wsh")) == F.size("wsh"))
+            & (F.size(F.array_distinct("shingles")) == F.size("shingles")))
+    shared = F.size(F.array_intersect("wsh", "shingles"))
+    plain = pairs.where(once).select(*name, (shared / (F.size("wsh") + F.size("shingles") - shared)).alias("similarity"))
+    # Repeated shingles count as often as they occur.
     both = F.concat(F.transform("wsh", lambda h: F.struct(h.alias("h"), F.lit(1).alias("w"), F.lit(0).alias("i"))),
                     F.transform("shingles", lambda h: F.struct(h.alias("h"), F.lit(0).alias("w"), F.lit(1).alias("i"))))
-    name = ["key", "id", "ikey", "item", "start", "differing"]
-    weighed = (pairs.select(*name, F.inline(both)).groupBy(*name, "h").agg(F.sum("w").alias("w"), F.sum("i").alias("i"))
-               .groupBy(*name).agg((F.sum(F.least("w", "i")) / F.sum(F.greatest("w", "i"))).alias("similarity"))
-               .where(F.col("similarity") >= threshold))
+    weighed = (pairs.where(~once).select(*name, "ikey", F.inline(both)).groupBy(*name, "ikey", "h")
+               .agg(F.sum("w").alias("w"), F.sum("i").alias("i")).groupBy(*name, "ikey")
+               .agg((F.sum(F.least("w", "i")) / F.sum(F.greatest("w", "i"))).alias("similarity")).drop("ikey"))
     best = F.min_by(F.struct("start", "differing", "similarity"), F.struct(-F.col("similarity"), "start"))
-    return (weighed.groupBy("key", "id", "item").agg(best.alias("best"))
+    return (plain.unionByName(weighed).where(F.col("similarity") >= threshold)
+            .groupBy("key", "id", "item").agg(best.alias("best"))
             .select(F.col("key").alias("row_key"), "id", "item", "best.*"))
 
 
@@ -141,11 +153,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
                   **options) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item."""
     bad = cut(contaminated(docs, benchmark, id_column, text_column, **options).select("row_key").distinct())
-    keyed = docs.withColumn("__row_key", row_key(id_column, text_column))
-    return keyed.join(bad, F.col("__row_key") == F.col("row_key"), "left_anti").drop("__row_key")
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, row_key(id_column, text_column))
+    return keyed.join(bad.withColumnRenamed("row_key", key), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-#: DuckDB: for each document and item every window that aligns a shared shingle.
+#: DuckDB: for each document and item with a shared shingle every window.
 DECONTAMINATION_SQL = """
 WITH doc_words AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL
@@ -154,29 +167,24 @@ item_words AS (
   SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark WHERE text IS NOT NULL
 ),
 doc_shingles AS (
-  SELECT doc_id, w, unnest(range(0, len(w) - 4)) AS p FROM doc_words WHERE len(w) >= 5
+  SELECT doc_id, p, array_to_string(w[p + 1:p + 5], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 4)) AS p FROM doc_words WHERE len(w) >= 5)
 ),
 item_shingles AS (
-  SELECT item_id, w, unnest(range(0, len(w) - 4)) AS q FROM item_words WHERE len(w) >= 5
+  SELECT item_id, m, q, array_to_string(w[q + 1:q + 5], ' ') AS s
+  FROM (SELECT item_id, w, len(w) AS m, unnest(range(0, len(w) - 4)) AS q FROM item_words WHERE len(w) >= 5)
 ),
 windows AS (
-  SELECT DISTINCT d.doc_id, i.item_id, greatest(p - q, 0) AS start, len(i.w) AS m
-  FROM (SELECT doc_id, p, array_to_string(w[p + 1:p + 5], ' ') AS s FROM doc_shingles) AS d
-  JOIN (SELECT item_id, w, q, array_to_string(w[q + 1:q + 5], ' ') AS s FROM item_shingles) AS i USING (s)
-),
-taken AS (
-  SELECT doc_id, item_id, start, w[start + 1:start + m] AS x FROM windows JOIN doc_words USING (doc_id)
+  SELECT doc_id, item_id, m, unnest(range(greatest(low - m, 0), high + 1)) AS start
+  FROM (SELECT doc_id, item_id, m, min(p) AS low, max(p) AS high
+        FROM doc_shingles JOIN (SELECT DISTINCT item_id, m, s FROM item_shingles) USING (s) GROUP BY ALL)
 ),
 counted AS (
-  SELECT doc_id, item_id, start, s, count(*) AS n
-  FROM (SELECT doc_id, item_id, start, x, unnest(range(0, len(x) - 4)) AS p FROM taken WHERE len(x) >= 5) AS t,
-       LATERAL (SELECT array_to_string(x[p + 1:p + 5], ' ') AS s)
+  SELECT w.doc_id, w.item_id, w.start, d.s, count(*) AS n
+  FROM windows AS w JOIN doc_shingles AS d ON d.doc_id = w.doc_id AND d.p BETWEEN w.start AND w.start + w.m - 5
   GROUP BY ALL
 ),
-item_counts AS (
-  SELECT item_id, s, count(*) AS n
-  FROM (SELECT item_id, array_to_string(w[q + 1:q + 5], ' ') AS s FROM item_shingles) GROUP BY ALL
-),
+item_counts AS (SELECT item_id, s, count(*) AS n FROM item_shingles GROUP BY ALL),
 totals AS (SELECT item_id, sum(n) AS n FROM item_counts GROUP BY item_id),
 shared_counts AS (
   SELECT c.doc_id, c.item_id, c.start, sum(least(c.n, coalesce(i.n, 0))) AS shared, sum(c.n) AS mine

@@ -40,7 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, connect, cut, fold, group_starts, in_filter, key_filter, partitions, row_key, runs
+from .common import (components, connect, cut, filter_bits, fold, free_name, group_starts, in_filter, key_filter,
+                     partitions, release, row_key, runs)
 from .words import chunks, shingle_sets
 
 #: Counters of the sketch that tells which shingles many documents hold.
@@ -167,11 +168,17 @@ def ngram_jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column:
     sets = told.where("sketch is null").drop("sketch")
     frequent = _frequent(told.where("sketch is not null").select("sketch"))
 
-    entries = cut(docs.select("text").mapInArrow(_prefixes(words, percent, frequent), "shingle long, cls long"))
-    shared = (entries.groupBy("shingle").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
-              .where("lo < hi").select("shingle"))
-    live = cut(entries.join(shared, "shingle").distinct())
-    wanted = key_filter(live.select("cls"))
+    kind = "shingle long, cls long"
+    shared = cut(docs.select("text").mapInArrow(_prefixes(words, percent, frequent), kind)
+                 .groupBy("shingle").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
+                 .where("lo < hi").select("shingle"))
+    # Most shingles are of one class; the filter holds them back before the exact join.
+    held = key_filter(shared, filter_bits(shared.count()))
+    live = cut(docs.select("text").mapInArrow(_prefixes(words, percent, frequent, held), kind)
+               .join(shared, "shingle").distinct())
+    release(shared)
+    classes = cut(live.groupBy("cls").agg(F.min("shingle").alias("shingle")))
+    wanted = key_filter(classes.select("cls"), filter_bits(classes.count()))
     maps = cut(docs.select("text").mapInArrow(_bitmaps(words, wanted), "cls long, n int, map binary")
                .dropDuplicates(["cls"]))
 
@@ -179,12 +186,15 @@ def ngram_jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column:
         pairs = cut(pairs.distinct())
         if pairs.isEmpty():
             return pairs
-        needed = key_filter(pairs.select(F.explode(F.array("a", "b")).alias("cls")))
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
+        needed = key_filter(ends, filter_bits(2 * pairs.count()))
         arrays = cut(docs.select("text").mapInArrow(_arrays(words, needed), "cls long, n int, items binary")
                      .dropDuplicates(["cls"]).drop("n"))
         both = (pairs.join(arrays.select(F.col("cls").alias("a"), F.col("items").alias("left")), "a")
                 .join(arrays.select(F.col("cls").alias("b"), F.col("items").alias("right")), "b"))
-        return cut(both.mapInArrow(_intersect(percent), "a long, b long"))
+        links = cut(both.mapInArrow(_intersect(percent), "a long, b long"))
+        release(pairs, arrays)
+        return links
 
     def propose(tiles: DataFrame, every: bool) -> DataFrame:
         tiles = tiles.join(maps, "cls").repartition(partitions(docs), "shingle", "block")
@@ -192,20 +202,22 @@ def ngram_jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column:
                 .mapInArrow(_tiles(percent, every), "a long, b long"))
 
     # 1: one tile for each class.
-    first = live.groupBy("cls").agg(F.min("shingle").alias("shingle"))
-    count = first.groupBy("shingle").agg(F.count("*").alias("m")).where("m > 1")
-    dealt = (first.join(count, "shingle")
+    # Counts are written, so that a join with them can split a hot tile.
+    count = cut(classes.groupBy("shingle").agg(F.count("*").alias("m")).where("m > 1"))
+    dealt = (classes.join(count, "shingle")
              .select("shingle", "cls", F.col("cls").alias("label"),
                      F.expr(f"pmod(xxhash64(cls), ceil(m / {block}))").cast("int").alias("block")))
     labels = components(decide(propose(dealt, False)))
+    release(classes, count)
     # 2: best partners outside the component; 3: all that is left.
     for every in (False, True):
         labels = connect(labels, decide(propose(_mixed_tiles(live, labels, block), every)))
+    release(live, maps)
 
     named = sets.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "label", F.coalesce("label", "cls"))
-    smallest = (named.where("label is not null").groupBy("label")
-                .agg(F.min("id").alias("component")))
+    smallest = cut(named.where("label is not null").groupBy("label")
+                   .agg(F.min("id").alias("component")))
     return (named.join(smallest, "label", "left")
             .select(F.col("id").alias(id_column), F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("component"))
@@ -217,15 +229,16 @@ def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: s
     """``docs`` with one row of each component, that of the smallest id (then of the
     smallest row hash; rows equal in id and text count once).  Rows without
     words are in no group and all stay."""
+    key = free_name(docs, "row_key")
     found = ngram_jaccard_join(docs, id_column, text_column, **options)
     order = F.struct(F.col(id_column).isNull().alias("unnamed"), F.col(id_column).alias("id"), "row_key")
     chosen = (found.where("n_shingles > 0").groupBy("group_id").agg(F.min(order).alias("best"))
-              .select(F.col("best.row_key").alias("__row_key")))
-    keyed = docs.withColumn("__row_key", row_key(id_column, text_column))
+              .select(F.col("best.row_key").alias(key)))
+    keyed = docs.withColumn(key, row_key(id_column, text_column))
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
     worded = text.rlike("[^ \\t\\n\\x0B\\f\\r]")
-    kept = keyed.where(worded).join(cut(chosen), "__row_key", "left_semi").dropDuplicates(["__row_key"])
-    return kept.unionByName(keyed.where(~worded)).drop("__row_key")
+    kept = keyed.where(worded).join(cut(chosen), key, "left_semi").dropDuplicates([key])
+    return kept.unionByName(keyed.where(~worded)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _mixed_tiles(live: DataFrame, labels: DataFrame, block: int) -> DataFrame:
@@ -234,12 +247,12 @@ def _mixed_tiles(live: DataFrame, labels: DataFrame, block: int) -> DataFrame:
     block; the others go to every block."""
     rows = (live.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
             .withColumn("label", F.coalesce("label", "cls")))
-    tiles = (rows.groupBy("shingle", "label").agg(F.count("*").alias("m"))
-             .groupBy("shingle").agg(F.sum("m").alias("m"), F.count("*").alias("labels"),
-                                     F.max(F.struct("m", "label")).alias("top"))
-             .where("labels > 1")
-             .select("shingle", F.col("top.label").alias("main"),
-                     F.expr(f"cast(ceil(m / {block}) as int)").alias("blocks")))
+    tiles = cut(rows.groupBy("shingle", "label").agg(F.count("*").alias("m"))
+                .groupBy("shingle").agg(F.sum("m").alias("m"), F.count("*").alias("labels"),
+                                        F.max(F.struct("m", "label")).alias("top"))
+                .where("labels > 1")
+                .select("shingle", F.col("top.label").alias("main"),
+                        F.expr(f"cast(ceil(m / {block}) as int)").alias("blocks")))
     own = F.expr("cast(pmod(xxhash64(cls), blocks) as int)")
     where = F.when((F.col("blocks") == 1) | (F.col("label") == F.col("main")), F.array(own)).otherwise(
         F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -293,7 +306,9 @@ def _frequent(sketches: DataFrame) -> np.ndarray:
     return counts > counts.mean() + FREQUENT_SIGMAS * np.sqrt(counts.mean() + 1)
 
 
-def _prefixes(words: int, percent: int, frequent: np.ndarray):
+def _prefixes(words: int, percent: int, frequent: np.ndarray, held: np.ndarray | None = None):
+    """The shingles by which a class enters tiles, all or those that ``held`` may hold."""
+
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # classes of this task: copies add nothing
         for batch in batches:
@@ -305,6 +320,8 @@ def _prefixes(words: int, percent: int, frequent: np.ndarray):
                 late = frequent[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 names.append(name)
                 parts.append(np.concatenate([s[~late], s[late]])[:prefix_length(len(s), percent)])
+                if held is not None:
+                    parts[-1] = parts[-1][in_filter(held, parts[-1].view(np.int64))]
             if names:
                 yield pa.RecordBatch.from_pydict({
                     "shingle": pa.array(np.concatenate(parts).view(np.int64)),

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_filter, key_filter, row_key
+from .common import cut, free_name, in_filter, key_filter, row_key
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on each side of a protected value that count as beside it.
@@ -109,11 +110,13 @@ def _value(text: str, span: Span) -> int:
     return _hash(f"{kind}:{found if kind in ('email', 'ip') else ''.join(filter(str.isdigit, found))}")
 
 
-def _beside(text: str, span: Span) -> list[str]:
-    """The ``CONTEXT`` words before and after a span, lower-cased."""
-    reach = 40 * CONTEXT
-    before = [m.lower() for m in _WORD.findall(text[max(0, span[0] - reach):span[0]])][-CONTEXT:]
-    return before + [m.lower() for m in _WORD.findall(text[span[1]:span[1] + reach])][:CONTEXT]
+def _beside(words: list[tuple[int, int]], text: str, span: Span) -> list[str]:
+    """The ``CONTEXT`` whole words before and after a span, lower-cased.
+    ``words`` has the places of the text's words."""
+    last = bisect_right(words, span[0], key=lambda w: w[1])
+    first = bisect_left(words, (span[1], 0))
+    near = words[max(0, last - CONTEXT):last] + words[first:first + CONTEXT]
+    return [text[a:b].lower() for a, b in near]
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +124,11 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for text in batch.column("text"):
             text = text.as_py() or ""
-            for span in base_spans(text):
+            spans = base_spans(text)
+            places = [m.span() for m in _WORD.finditer(text)] if spans else []
+            for span in spans:
                 if span[2] != "term":
-                    words = _beside(text, span)
+                    words = _beside(places, text, span)
                     value, context = _value(text, span), _hash(" ".join(words))
                     rows += [(value, _hash(w), context) for w in words]
                     rows.append((value, None, context))
@@ -209,18 +214,19 @@ def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 def _with_spans(docs: DataFrame, id_column: str, text_column: str, clean: bool, support: int = SUPPORT,
                 disclosure: float = DISCLOSURE) -> DataFrame:
     terms = revealing_terms(docs, text_column, support, disclosure)
-    keyed = docs.withColumn("__key", row_key(id_column, text_column))
+    key, found_terms = free_name(docs, "__key"), free_name(docs, "__terms")
+    keyed = docs.withColumn(key, row_key(id_column, text_column))
     if terms.isEmpty():
         extra = None
     else:
-        texts = keyed.select(F.col("__key").alias("key"), F.col(f"`{text_column}`").cast("string").alias("text"))
+        texts = keyed.select(F.col(key).alias("key"), F.col(f"`{text_column}`").cast("string").alias("text"))
         extra = cut(texts.mapInArrow(_term_spans(key_filter(terms)), "key long, term long, start long, end long")
                     .join(terms, "term").groupBy("key")
-                    .agg(F.collect_set(F.struct("start", "end")).alias("__terms")))
+                    .agg(F.collect_set(F.struct("start", "end")).alias(found_terms)))
     spare = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    keyed = keyed.withColumn("__terms", spare) if extra is None else (
-        keyed.join(extra.withColumnRenamed("key", "__key"), "__key", "left")
-        .withColumn("__terms", F.coalesce("__terms", spare)))
+    keyed = keyed.withColumn(found_terms, spare) if extra is None else (
+        keyed.join(extra.withColumnRenamed("key", key), key, "left")
+        .withColumn(found_terms, F.coalesce(found_terms, spare)))
     columns = list(docs.columns)
     if not clean:
         columns = [c for c in columns if c != "pii_spans"]
@@ -234,7 +240,7 @@ def _with_spans(docs: DataFrame, id_column: str, text_column: str, clean: bool,
                 part = batch.slice(first, 500)
                 texts = part.column(text_column).cast(pa.string()).to_pylist()
                 rows = []
-                for text, found in zip(texts, part.column("__terms")):
+                for text, found in zip(texts, part.column(found_terms)):
                     spans = base_spans(text or "")
                     found = found.as_py()
                     if found:
@@ -251,7 +257,7 @@ def _with_spans(docs: DataFrame, id_column: str, text_column: str, clean: bool,
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], listed],
                                                  names=[*columns, "pii_spans"])
 
-    return keyed.drop("__key").mapInArrow(kernel, docs.schema if clean else schema)
+    return keyed.drop(key).mapInArrow(kernel, docs.schema if clean else schema)
 
 
 def sanitised(text: str, spans: list[Span]) -> str:
