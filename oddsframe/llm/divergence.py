@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -71,8 +72,9 @@ def terms(text: bytes) -> Iterator[list[bytes]]:
 _COUNTS = "lang string, source string, term string, n long, docs long"
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents of each group's terms; a row without a term for each group."""
+def _count(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Occurrences and documents of each group's terms, handed on whenever more than ``most``
+    terms are held; a row without a term for each group."""
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
     def counted() -> Iterator[pa.RecordBatch]:
@@ -96,7 +98,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.update(found)
             docs.update(seen)
             size += len(n) - before
-            if size > HELD:
+            if size > most:
                 yield from counted()
                 size = 0
     yield from counted()
@@ -181,30 +183,30 @@ class Quadtree:
 _TILE = ["lang", "block", "low", "high"]
 
 
-def _tile_distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of a tile for each pair of its sources."""
+def _tile_distances(batches: Iterator[pa.RecordBatch], side: int) -> Iterator[pa.RecordBatch]:
+    """Sums of a tile of blocks of ``side`` sources, for each pair of its sources."""
     for table in runs(batches, _TILE):
         col = {k: table.column(k).to_numpy() for k in (*_TILE, "row", "col", "p", "width")}
         starts = group_starts([col[k] for k in _TILE])
         for s, e in zip(starts, [*starts[1:], len(col["row"])]):
             low, high = int(col["low"][s]), int(col["high"][s])
-            row = col["row"][s:e] - low * ROWS  # the second block of sources follows the first
-            row = np.where(row < ROWS, row, row - (high - low - 1) * ROWS) if high > low else row
+            row = col["row"][s:e] - low * side  # the second block of sources follows the first
+            row = np.where(row < side, row, row - (high - low - 1) * side) if high > low else row
             mark = col["col"][s:e] < 0
             floor = np.zeros(int(row.max()) + 1, np.int64)
             floor[row[mark]] = col["p"][s:e][mark]
             tree = Quadtree(row[~mark], col["col"][s:e][~mark].astype(np.int64), col["p"][s:e][~mark], floor,
                             int(col["width"][s:e].max()))
-            apart = tree.distances(ROWS if high > low else 0)
+            apart = tree.distances(side if high > low else 0)
             if high > low:
-                x, y = (v.ravel() for v in np.mgrid[0:ROWS, ROWS:len(floor)])
+                x, y = (v.ravel() for v in np.mgrid[0:side, side:len(floor)])
             else:
                 x, y = np.triu_indices(len(floor), 1)
             if not len(x):
                 continue
             yield pa.RecordBatch.from_arrays(
-                [pa.array([col["lang"][s]] * len(x), pa.string()), pa.array((x + low * ROWS).astype(np.int32)),
-                 pa.array(np.where(y < ROWS, y + low * ROWS, y + (high - 1) * ROWS).astype(np.int32)),
+                [pa.array([col["lang"][s]] * len(x), pa.string()), pa.array((x + low * side).astype(np.int32)),
+                 pa.array(np.where(y < side, y + low * side, y + (high - 1) * side).astype(np.int32)),
                  pa.array(apart[x, y])], names=["lang", "a", "b", "value"])
 
 
@@ -220,7 +222,7 @@ def source_divergence(docs: DataFrame, group_column: str = "lang", member_column
 
     docs = docs.select(plain(group_column).alias("lang"), plain(member_column).alias("source"),
                        plain(text_column).alias("text"))
-    counts = cut(docs.mapInArrow(_count, _COUNTS).groupBy("lang", "source", "term")
+    counts = cut(docs.mapInArrow(partial(_count, most=HELD), _COUNTS).groupBy("lang", "source", "term")
                  .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
     kept = (counts.where("term is not null").groupBy("lang", "term")
             .agg(F.sum("docs").alias("docs"), F.sum("n").alias("total")).where(F.col("docs") >= min_docs))
@@ -269,7 +271,7 @@ def _pairs(placed: DataFrame, groups: DataFrame, entries: DataFrame) -> DataFram
              .withColumn("col", F.lit(-1)).withColumn("p", _share(F.lit(0), F.col("own_m"))))
     tiles = (dealt(placed.withColumn("width", F.lit(0))).unionByName(dealt(marks))
              .repartition(partitions(groups), *_TILE).sortWithinPartitions(*_TILE))
-    sums = (tiles.mapInArrow(_tile_distances, "lang string, a int, b int, value long")
+    sums = (tiles.mapInArrow(partial(_tile_distances, side=ROWS), "lang string, a int, b int, value long")
             .groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
     both = sums.select("lang", F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
                        .alias("two"), "value").select("lang", "two.a", "two.b", "value")
