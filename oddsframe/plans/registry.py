@@ -23,6 +23,7 @@ from ..operators.analysis import (
     outcome_share,
 )
 from ..operators.enrich import MARGIN_COLUMN, add_margin, decode_league, enrich, silver_columns
+from ..operators.markets import MARKET_HOUSES, RESULTS, handicap_ladder, handicap_report, over_under, settle_handicap
 from ..operators.quality import max_reconcile, mean_reconcile, mismatch_counts
 from ..operators.quality import dictionary_audit, schema_difference
 from ..schema import DOCUMENTED, HOUSE_CODES, LEAGUE_NAMES, OUTCOMES, PICK_COLUMN, raw_name
@@ -575,6 +576,91 @@ JOIN counts c ON t.column_name = c.column_name""")
 _register("column_audit", _column_audit, _column_audit_sql())
 
 
+# --- two-way markets: Asian handicap, over/under --------------------------------
+
+#: What a home bet that ends ``x`` goals ahead, line included, comes to.
+_SETTLED = """CASE WHEN {x} >= 0.5 THEN 'won' WHEN {x} = 0.25 THEN 'half_won' WHEN {x} = 0 THEN 'push'
+            WHEN {x} = -0.25 THEN 'half_lost' WHEN {x} <= -0.5 THEN 'lost' END"""
+_PAID = """CASE {r} WHEN 'won' THEN {q} - 1 WHEN 'half_won' THEN ({q} - 1) / 2 WHEN 'push' THEN 0.0
+            WHEN 'half_lost' THEN -0.5 WHEN 'lost' THEN -1.0 END"""
+_COUNTED = ", ".join(f"CAST(COUNT(*) FILTER (WHERE result = '{r}') AS BIGINT) AS {r}" for r in RESULTS)
+
+_register(
+    "handicap_settled",
+    lambda spark, sf: settle_handicap(bronze(spark, sf)).select(
+        "MatchId", "ah_line", "ah_home", "ah_away", "ah_home_profit", "ah_away_profit", "ah_p_home", "ah_margin"),
+    with_silver(f"""
+SELECT MatchId, AHh AS ah_line, ah_home, ah_away, {_PAID.format(r="ah_home", q="AvgAHH")} AS ah_home_profit,
+       {_PAID.format(r="ah_away", q="AvgAHA")} AS ah_away_profit,
+       (1 / AvgAHH) / (1 / AvgAHH + 1 / AvgAHA) AS ah_p_home, (1 / AvgAHH + 1 / AvgAHA - 1) * 100 AS ah_margin
+FROM (SELECT *, {_SETTLED.format(x="(FTHG - FTAG + AHh)")} AS ah_home,
+             {_SETTLED.format(x="(FTAG - FTHG - AHh)")} AS ah_away FROM bronze) AS settled"""),
+)
+
+_register(
+    "handicap_report_league",
+    lambda spark, sf: handicap_report(bronze(spark, sf), by="League"),
+    with_silver(f"""
+SELECT house, League, side, COUNT(*) AS bets, {_COUNTED}, CAST(SUM(CAST(paid AS DECIMAL(18, 4))) AS DOUBLE) AS profit,
+       CAST(SUM(CAST(paid AS DECIMAL(18, 4))) AS DOUBLE) * 100.0 / COUNT(*) AS yield_pct
+FROM (SELECT *, {_PAID.format(r="result", q="quote")} AS paid FROM (
+{" UNION ALL ".join(
+    f"SELECT '{house}' AS house, League, '{side}' AS side, {house}{code} AS quote, {_SETTLED.format(x=gap)} AS result FROM bronze"
+    for house in MARKET_HOUSES
+    for side, code, gap in (("home", "AHH", "(FTHG - FTAG + AHh)"), ("away", "AHA", "(FTAG - FTHG - AHh)")))}
+) AS told) AS bets WHERE quote IS NOT NULL AND result IS NOT NULL GROUP BY house, League, side"""),
+)
+
+_register(
+    "handicap_ladder",
+    lambda spark, sf: handicap_ladder(bronze(spark, sf)),
+    with_silver(f"""
+SELECT line, COUNT(*) AS matches, {_COUNTED} FROM (
+  SELECT line, {_SETTLED.format(x="(FTHG - FTAG + line)")} AS result
+  FROM bronze CROSS JOIN (SELECT CAST(k AS DOUBLE) / 4 AS line FROM range(-12, 13) AS r(k) UNION ALL SELECT NULL) AS lines
+) AS told GROUP BY line"""),
+)
+
+#: Six decimals: the oracle solves for the rates by its own iteration over its own sums.
+_FITTED = ("goals_home", "goals_away", "fit_home", "fit_draw", "fit_away", "p_over", "fair_over", "fair_under", "over_gap")
+_POISSON = "list_transform(range(0, 80), lambda i: exp(-{r} + i * ln({r}) - lgamma(i + 1)))"
+
+_register(
+    "over_under_fitted",
+    lambda spark, sf: over_under(silver(spark, sf)).select(
+        "MatchId", *[F.round(c, 6).alias(c) for c in _FITTED], "market_over", "totals_margin"),
+    with_silver(f"""
+, prices AS (
+  SELECT DISTINCT MediaH, MediaD, MediaA, 1 / MediaH + 1 / MediaD + 1 / MediaA AS book FROM silver WHERE MediaH IS NOT NULL
+    AND MediaD IS NOT NULL AND MediaA IS NOT NULL
+),
+outcomes AS (SELECT MediaH, MediaD, MediaA, 1 / MediaH / book AS ph, 1 / MediaD / book AS pd, 1 / MediaA / book AS pa FROM prices),
+fit AS (
+  WITH RECURSIVE steps AS (
+    SELECT *, 0 AS step, 1.4::DOUBLE AS l, 1.4::DOUBLE AS m FROM outcomes
+    UNION ALL
+    SELECT MediaH, MediaD, MediaA, ph, pd, pa, step + 1,
+           l * exp(least(greatest(-((p - z) * m * (h - ph) + p * m * (z - pd)) / (l * m * (p * q - z * z)), -0.5), 0.5)),
+           m * exp(least(greatest(-((z - q) * l * (h - ph) + z * l * (z - pd)) / (l * m * (p * q - z * z)), -0.5), 0.5))
+    FROM (
+      SELECT *, list_sum(list_transform(range(1, 81), lambda i: a[i] * b[i])) AS z,
+             list_sum(list_transform(range(2, 81), lambda i: a[i] * b[i - 1])) AS p,
+             list_sum(list_transform(range(2, 81), lambda i: a[i - 1] * b[i])) AS q,
+             list_sum(list_transform(range(2, 81), lambda i: a[i] * list_sum(b[1:i - 1]))) AS h
+      FROM (SELECT *, {_POISSON.format(r="l")} AS a, {_POISSON.format(r="m")} AS b FROM steps WHERE step < 24) AS goals
+    ) AS gaps
+  )
+  SELECT MediaH, MediaD, MediaA, ph, pd, pa, l, m, 1 - exp(-l - m) * (1 + (l + m) + (l + m) * (l + m) / 2) AS over_p
+  FROM steps WHERE step = 24
+)
+SELECT MatchId, round(l, 6) AS goals_home, round(m, 6) AS goals_away, round(ph, 6) AS fit_home, round(pd, 6) AS fit_draw,
+       round(pa, 6) AS fit_away, round(over_p, 6) AS p_over, round(1 / over_p, 6) AS fair_over,
+       round(1 / (1 - over_p), 6) AS fair_under, round(over_p - (1 / AvgO25) / (1 / AvgO25 + 1 / AvgU25), 6) AS over_gap,
+       (1 / AvgO25) / (1 / AvgO25 + 1 / AvgU25) AS market_over, (1 / AvgO25 + 1 / AvgU25 - 1) * 100 AS totals_margin
+FROM silver LEFT JOIN fit USING (MediaH, MediaD, MediaA)"""),
+)
+
+
 # --- streaming form (incremental silver, running reports) --------------------
 
 
