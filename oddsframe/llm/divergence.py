@@ -42,6 +42,8 @@ SCALE = 1_000_000_000
 ROWS = 256
 COLS = 1024
 LEAF = 16
+#: Parts that a language's terms are dealt in when they meet its totals.
+PARTS = 64
 #: Terms that a task holds before it hands its counts on; bytes of text taken at a time.
 HELD = 1 << 18
 SLICE = 1 << 20
@@ -227,7 +229,11 @@ def source_divergence(docs: DataFrame, group_column: str = "lang", member_column
     kept = (counts.where("term is not null").groupBy("lang", "term")
             .agg(F.sum("docs").alias("docs"), F.sum("n").alias("total")).where(F.col("docs") >= min_docs))
     langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_n"))
-    kept = (kept.join(langs.select("lang", F.expr(f"cast(ceil(v / {COLS}) as int)").alias("blocks")), "lang")
+    # Dealt by language and a part of its terms, so one language's terms are not one task's.
+    part = F.expr(f"cast(pmod(xxhash64(term), {PARTS}) as int)")
+    blocks = langs.select("lang", F.expr(f"cast(ceil(v / {COLS}) as int)").alias("blocks"),
+                          F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    kept = (kept.withColumn("part", part).join(blocks, ["lang", "part"]).drop("part")
             .withColumn("block", F.expr("cast(pmod(xxhash64(term), blocks) as int)"))
             .withColumn("col", F.row_number().over(Window.partitionBy("lang", "block").orderBy("term")) - 1))
     entries = cut(counts.where("term is not null").drop("docs")
