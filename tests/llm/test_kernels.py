@@ -238,3 +238,39 @@ def test_gram_counts_do_not_depend_on_slices(monkeypatch):
     assert (language_id.gram_counts(pa.array(["über the é!! 99 quick"]))[0] == want[0]).all()
     monkeypatch.setattr(language_id, "_BYTES", 7)
     assert (language_id.gram_counts(column) == want).all()
+
+
+def plain_scores(x, y):
+    """Chain scores by looking at every earlier match."""
+    reach, score = passages.MAX_GAP + passages.K, [0] * len(x)
+    for j in np.lexsort((-y, x)).tolist():
+        score[j] = passages.WORD_GAIN * passages.K
+        for i in range(len(x)):
+            dx, dy = int(x[j] - x[i]), int(y[j] - y[i])
+            if 0 < dx <= reach and 0 < dy <= reach:
+                words = min(dx, dy, passages.K)
+                score[j] = max(score[j], score[i] + passages.WORD_GAIN * words - (dx + dy - 2 * words))
+    return score
+
+
+def test_fenwick_chains_score_as_all_earlier_matches_do():
+    rng = np.random.default_rng(3)
+    for n, spread in ((0, 1), (1, 1), (40, 12), (60, 40), (80, 300), (150, 90)):
+        for _ in range(12):
+            x, y = rng.integers(0, spread, n), rng.integers(0, spread, n)
+            score, before = passages.predecessors(x, y)
+            assert score == plain_scores(x, y)
+            for j, i in enumerate(before):
+                assert i < 0 or (x[i] < x[j] and y[i] < y[j])
+
+
+def test_max_tree_values_may_fall():
+    rng = np.random.default_rng(4)
+    tree, held = passages.MaxTree(37), {}
+    for _ in range(600):
+        slot = int(rng.integers(1, 38))
+        held[slot] = None if rng.random() < 0.4 else int(rng.integers(-50, 50))
+        tree.assign(slot, held[slot])
+        low, high = sorted(int(v) for v in rng.integers(1, 38, 2))
+        best = max((v for k, v in held.items() if low <= k <= high and v is not None), default=None)
+        assert tree.value[tree.best(low, high)] == best
