@@ -4,8 +4,10 @@ Each page becomes a tree of its block elements and text blocks.  Per host, the
 page whose length is nearest to the host's mean is the reference (the smaller id on
 a tie); every page's tree is aligned with the reference's by simple tree matching.
 Over all pages of the host an aligned text block is *constant* when it reads the
-same on every page that has it, on ``MIN_PAGES`` different pages or more (pages of
-the same text count once); constant blocks are template, varying slots are content.
+same on every page that has it, on ``MIN_PAGES`` different pages or more; constant
+blocks are template, varying slots are content.  Pages of the same text count once, and
+so do the reference and its near copies (``NEAR`` of the unmarked text in equal blocks):
+an article that is there in several versions is no template.
 Slots that the page itself marks as navigation, header, footer, sidebar, notice,
 advert, form or reader comments (elements, roles, class and id words) vary from page
 to page too and are no content; inside an article or main element a class or id counts
@@ -19,7 +21,7 @@ splits when a host is hot.
 Defined results: null and empty html and pages without content give an empty text.
 Character references are decoded, white space in a block is one space, blocks are
 joined by a line feed.  A page that is alone on its host, or whose host's pages all
-read the same, keeps all that is not marked.  Rows with a null url share the empty host.
+read (nearly) the same, keeps all that is not marked.  Pages may be nested to any depth.  Rows with a null url share the empty host.
 Repeated rows are rows of their own; extra columns are ignored; an empty table gives
 no rows.
 """
@@ -28,9 +30,10 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -40,8 +43,12 @@ from .common import cut
 
 #: Different pages on which a block must read the same to be template.
 MIN_PAGES = 3
-#: Pairs of subtree shapes that a task remembers, and cells of an alignment.
+#: Common part of the unmarked text from which a page is a near copy of its reference.
+NEAR = 0.8
+#: Pairs of subtree shapes that a task remembers.
 _MEMO = 100_000
+#: Cells from which an alignment of two lists of children is worked out row by row.
+_TABLE = 4096
 
 # Element names and the words that mark a region.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,6 +59,8 @@ BLOCK = set("address article aside blockquote body caption center dd details dia
             "ul".split())
 SKIP = set("aside button canvas datalist dialog dir footer form head iframe input label math menu meta nav noembed "
            "noframes noscript object option output script search select style svg template textarea title".split())
+#: Elements of SKIP that are part of the text inside an article or main element.
+INLINE_TEXT = set("label math object output".split())
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search "
             "toolbar".split())
 MARKED = set("ad ads advert adverts advertisement advertisements adsense aside banner breadcrumb breadcrumbs "
@@ -91,8 +100,9 @@ def _attributes(attrs: str) -> dict[str, str]:
     return {k.lower(): unescape(v.strip("\"'")) if v else "" for k, v in _ATTR.findall(attrs)}
 
 
-def _is_marked(name: str, attrs: dict[str, str], inside: set[str]) -> bool:
-    if name in SKIP or name == "header" and not inside & {"article", "main"}:
+def _is_marked(name: str, attrs: dict[str, str], inside: bool) -> bool:
+    """Whether an element is no content; ``inside``: it stands in an article or main element."""
+    if name in SKIP and not (inside and name in INLINE_TEXT) or name == "header" and not inside:
         return True
     if not attrs:
         return False
@@ -107,7 +117,7 @@ def _is_marked(name: str, attrs: dict[str, str], inside: set[str]) -> bool:
             ("no", "without", "has", "with")]
     if not told:
         return False
-    if inside & {"article", "main"} and not any(
+    if inside and not any(
             set(token) & MARKED and set(token) <= MARKED | LAYOUT
             for token in ([w.lower() for w in _WORDS.findall(t)]
                           for t in f"{attrs.get('class', '')} {attrs.get('id', '')}".split())):
@@ -121,6 +131,7 @@ def parse(html: str) -> Node:
     stack: list[tuple[str, Node, bool]] = [("html", root, True)]  # name, block node, is a block
     words: list[str] = []
     hidden = 0  # inline elements that hide their text
+    articles = 0  # open article and main elements
 
     def flush() -> None:
         text = " ".join(" ".join(words).split()) if words else ""
@@ -130,9 +141,10 @@ def parse(html: str) -> Node:
         words.clear()
 
     def close_to(depth: int) -> None:
-        nonlocal hidden
+        nonlocal hidden, articles
         while len(stack) > depth:
             name, _, block = stack[-1]
+            articles -= name in ("article", "main")
             if block is True:
                 flush()
             elif block is None:
@@ -197,15 +209,15 @@ def parse(html: str) -> Node:
                 flush()
                 continue
             flush()
-            inside = {s[0] for s in stack}
             parent = stack[-1][1]
             node = Node(f"{name}.{attrs['class']}" if attrs.get("class") else name,
-                        parent.marked or _is_marked(name, attrs, inside))
+                        parent.marked or _is_marked(name, attrs, articles > 0))
             parent.children.append(node)
             if name != "hr":
+                articles += name in ("article", "main")
                 stack.append((name, node, True))
         elif name not in VOID and not tag["attrs"].rstrip().endswith("/"):
-            gone = _is_marked(name, attrs, {s[0] for s in stack})
+            gone = _is_marked(name, attrs, articles > 0)
             hidden += gone
             stack.append((name, stack[-1][1], None if gone else False))
     close_to(1)
@@ -241,51 +253,162 @@ class Shapes:
 
     def weight(self, a: int, b: int) -> int:
         """Size of the simple tree matching of two shapes."""
+        todo = [(a, b)]
+        while todo:  # a pair waits until the pairs of its children are known
+            x, y = (self.parts[shape][1] for shape in todo[-1])
+            open_pairs = [] if self._known(*todo[-1]) is not None else [
+                p for p in self._middle_pairs(x, y) if self._known(*p) is None]
+            if open_pairs:
+                todo += open_pairs
+                continue
+            pair = todo.pop()
+            if self._known(*pair) is None:
+                self.matched[pair] = 1 + self._best(x, y)
+        return self._known(a, b)
+
+    def _known(self, a: int, b: int) -> int | None:
         if a == b:
             return self.sizes[a]
         if self.parts[a][0] != self.parts[b][0]:
             return 0
-        known = self.matched.get((a, b))
-        if known is None:
-            x, y = self.parts[a][1], self.parts[b][1]
-            known = 1 + sum(self.weight(x[i], y[j]) for i, j in self.pairs(x, y))
-            if len(self.matched) > _MEMO:
-                self.matched.clear()
-            self.matched[a, b] = known
-        return known
+        return self.matched.get((a, b))
+
+    def _middle_pairs(self, x: tuple[int, ...], y: tuple[int, ...]) -> list[tuple[int, int]]:
+        """Different shapes that the alignment of two lists of children compares."""
+        head, tail = _ends(x, y)
+        right: dict[str, set[int]] = {}
+        for j in y[head:len(y) - tail]:
+            right.setdefault(self.parts[j][0], set()).add(j)
+        return [(i, j) for i in set(x[head:len(x) - tail]) for j in right.get(self.parts[i][0], ())]
+
+    def _weights(self, y: tuple[int, ...]) -> Callable[[int], np.ndarray]:
+        """For a long list ``y``: the weights of a shape with each of its members."""
+        places: dict[str, list[int]] = {}
+        for j, b in enumerate(y):
+            places.setdefault(self.parts[b][0], []).append(j)
+        like = {label: (np.array(at), *np.unique([y[j] for j in at], return_inverse=True))
+                for label, at in places.items()}
+        known: dict[int, np.ndarray] = {}
+
+        def row(a: int) -> np.ndarray:
+            out = np.zeros(len(y), dtype=np.int64)
+            label = self.parts[a][0]
+            if label in like:
+                at, shapes, number = like[label]
+                if a not in known:
+                    known[a] = np.array([self.weight(a, b) for b in shapes.tolist()], dtype=np.int64)
+                out[at] = known[a][number]
+            return out
+
+        return row
+
+    def _best(self, x: tuple[int, ...], y: tuple[int, ...]) -> int:
+        """Weight of the best ordered matching of two lists; their pairs are known."""
+        head, tail = _ends(x, y)
+        equal = sum(self.sizes[i] for i in x[:head]) + sum(self.sizes[i] for i in x[len(x) - tail:])
+        x, y = x[head:len(x) - tail], y[head:len(y) - tail]
+        if not x or not y:
+            return equal
+        if len(x) * len(y) > _TABLE:
+            weights = self._weights(y)
+            below = np.zeros(len(y) + 1, dtype=np.int64)
+            for a in reversed(x):
+                below = _row_above(below, weights(a))
+            return equal + int(below[0])
+        below = [0] * (len(y) + 1)
+        for a in reversed(x):
+            row = [0] * (len(y) + 1)
+            for j in range(len(y) - 1, -1, -1):
+                both = self._known(a, y[j])
+                row[j] = max(below[j], row[j + 1], below[j + 1] + both if both else 0)
+            below = row
+        return equal + below[0]
 
     def pairs(self, x: tuple[int, ...], y: tuple[int, ...]) -> list[tuple[int, int]]:
         """The best ordered matching of two lists of children.  Equal children at
         both ends match each other in some best matching."""
-        head = 0
-        while head < min(len(x), len(y)) and x[head] == y[head]:
-            head += 1
-        tail = 0
-        while tail < min(len(x), len(y)) - head and x[-1 - tail] == y[-1 - tail]:
-            tail += 1
-        m, n = len(x) - head - tail, len(y) - head - tail
+        head, tail = _ends(x, y)
         out = [(i, i) for i in range(head)]
-        if m and n:
-            best = [[0] * (n + 1) for _ in range(m + 1)]
-            for i in range(m - 1, -1, -1):
-                for j in range(n - 1, -1, -1):
-                    both = self.weight(x[head + i], y[head + j])
-                    best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + both if both else 0)
-            i = j = 0
-            while i < m and j < n:
-                if best[i][j] == best[i + 1][j]:
+        left, right = x[head:len(x) - tail], y[head:len(y) - tail]
+        if left and right:
+            out += [(head + i, head + j) for i, j in (
+                self._pairs_by_rows if len(left) * len(right) > _TABLE else self._pairs_by_table)(left, right)]
+        return out + [(len(x) - t, len(y) - t) for t in range(tail, 0, -1)]
+
+    def _pairs_by_table(self, x: tuple[int, ...], y: tuple[int, ...]) -> list[tuple[int, int]]:
+        m, n = len(x), len(y)
+        best = [[0] * (n + 1) for _ in range(m + 1)]
+        for i in range(m - 1, -1, -1):
+            for j in range(n - 1, -1, -1):
+                both = self.weight(x[i], y[j])
+                best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + both if both else 0)
+        out, i, j = [], 0, 0
+        while i < m and j < n:
+            if best[i][j] == best[i + 1][j]:
+                i += 1
+            elif best[i][j] == best[i][j + 1]:
+                j += 1
+            else:
+                out.append((i, j))
+                i, j = i + 1, j + 1
+        return out
+
+    def _pairs_by_rows(self, x: tuple[int, ...], y: tuple[int, ...]) -> list[tuple[int, int]]:
+        """The same for long lists: one row at a time, and only every ``step``-th row is
+        kept; the rows between are worked out again where the matching passes them."""
+        m, n = len(x), len(y)
+        weights = self._weights(y)
+        step = int(m ** 0.5) + 1
+        kept = {m: np.zeros(n + 1, dtype=np.int64)}
+        row = kept[m]
+        for i in range(m - 1, -1, -1):
+            row = _row_above(row, weights(x[i]))
+            if i % step == 0:
+                kept[i] = row
+        out, j = [], 0
+        for first in range(0, m, step):
+            last = min(first + step, m)
+            rows = [kept[last]]
+            for i in range(last - 1, first - 1, -1):
+                rows.append(_row_above(rows[-1], weights(x[i])))
+            rows.reverse()
+            i = first
+            while i < last and j < n:
+                here, below = rows[i - first], rows[i - first + 1]
+                if here[j] == below[j]:
                     i += 1
-                elif best[i][j] == best[i][j + 1]:
+                elif here[j] == here[j + 1]:
                     j += 1
                 else:
-                    out.append((head + i, head + j))
+                    out.append((i, j))
                     i, j = i + 1, j + 1
-        return out + [(len(x) - t, len(y) - t) for t in range(tail, 0, -1)]
+        return out
+
+
+def _ends(x: tuple[int, ...], y: tuple[int, ...]) -> tuple[int, int]:
+    """Equal children at the head and at the tail of two lists."""
+    short = min(len(x), len(y))
+    head = 0
+    while head < short and x[head] == y[head]:
+        head += 1
+    tail = 0
+    while tail < short - head and x[-1 - tail] == y[-1 - tail]:
+        tail += 1
+    return head, tail
+
+
+def _row_above(below: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """A row of the matching table from the row below it and the weights of its cells."""
+    best = below.copy()
+    np.maximum(best[:-1], np.where(weights > 0, below[1:] + weights, 0), out=best[:-1])
+    return np.maximum.accumulate(best[::-1])[::-1]
 
 
 def aligned(page: Node, reference: Node, shapes: Shapes) -> dict[int, int]:
     """Text blocks of ``page`` (by ``id``) and the reference block each is
     aligned with, numbered in the reference's page order."""
+    if len(shapes.matched) > _MEMO:
+        shapes.matched.clear()
     number: dict[int, int] = {}
     stack = [reference]
     while stack:
@@ -314,14 +437,38 @@ def text_blocks(root: Node) -> list[Node]:
     return out
 
 
-def _packed(node: Node) -> list:
-    return [node.label, [_packed(c) for c in node.children]]
+def _packed(root: Node) -> str:
+    """A tree as a flat list in page order: label, number of children, and of text
+    blocks the hash and, if not marked, the length."""
+    out, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        out.append([node.label, len(node.children)] if node.label != "#text" else
+                   [node.label, 0, _hash(node.text), 0 if node.marked else len(node.text)])
+        stack += reversed(node.children)
+    return json.dumps(out)
+
+
+def _unpacked(packed: str) -> tuple[Node, dict[int, int]]:
+    """The tree, and the total length of its unmarked text blocks by hash."""
+    holder = Node("", False)
+    stack, texts = [[holder, 1]], {}
+    for label, children, *text in json.loads(packed):
+        while not stack[-1][1]:
+            stack.pop()
+        node = Node(label, False)
+        stack[-1][0].children.append(node)
+        stack[-1][1] -= 1
+        stack.append([node, children])
+        if text and text[1]:
+            texts[text[0]] = texts.get(text[0], 0) + text[1]
+    return holder.children[0], texts
 
 
-def _unpacked(packed: list) -> Node:
-    node = Node(packed[0], False)
-    node.children = [_unpacked(c) for c in packed[1]]
-    return node
+def _is_near(texts: dict[int, int], other: dict[int, int]) -> bool:
+    """Whether equal blocks hold ``NEAR`` of the text of two pages together."""
+    both = sum(min(n, other.get(key, 0)) for key, n in texts.items())
+    return both > 0 and both >= NEAR * (sum(texts.values()) + sum(other.values()) - both)
 
 
 def _host(url: Column) -> Column:
@@ -331,7 +478,7 @@ def _host(url: Column) -> Column:
 
 def _references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        trees = [json.dumps(_packed(parse(h.as_py() or ""))) for h in batch.column("html")]
+        trees = [_packed(parse(h.as_py() or "")) for h in batch.column("html")]
         yield pa.RecordBatch.from_pydict({"host": batch.column("host"), "tree": pa.array(trees, pa.string())})
 
 
@@ -343,7 +490,7 @@ _BLOCKS = "array<struct<slot:int,hash:bigint,marked:boolean,text:string>>"
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, Node] = {}
+    known: dict[str, tuple[Node, dict[int, int]]] = {}
     shapes = Shapes()
     kind = pa.list_(pa.struct([("slot", pa.int32()), ("hash", pa.int64()), ("marked", pa.bool_()),
                                ("text", pa.string())]))
@@ -357,13 +504,20 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if host not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[host] = _unpacked(json.loads(tree.as_py() or '["html", []]'))
+                    known[host] = _unpacked(tree.as_py() or '[["html", 0]]')
                 page = parse(html.as_py() or "")
-                slots = aligned(page, known[host], shapes)
+                reference, reference_texts = known[host]
+                slots = aligned(page, reference, shapes)
                 blocks = [{"slot": slots.get(id(b)), "hash": _hash(b.text), "marked": b.marked,
                            "text": None if b.marked else b.text} for b in text_blocks(page)]
                 rows.append(blocks)
-                whole.append(_hash("\n".join(b["text"] or "" for b in blocks)))
+                texts: dict[int, int] = {}
+                for b in blocks:
+                    if not b["marked"]:
+                        texts[b["hash"]] = texts.get(b["hash"], 0) + len(b["text"])
+                # The reference and its near copies are one piece of evidence.
+                whole.append(0 if _is_near(texts, reference_texts) else
+                             _hash("\n".join(b["text"] or "" for b in blocks)))
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), part.column("url"), part.column("host"), pa.array(whole, pa.int64()),
                  pa.array(rows, kind)], names=["id", "url", "host", "whole", "blocks"])
@@ -389,7 +543,7 @@ def main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
         _align, f"id {id_type}, url string, host string, whole long, blocks {_BLOCKS}"))
 
     varied = seen.groupBy("host").agg((F.min("whole") != F.max("whole")).alias("varied"))
-    # Copies of a page are one piece of evidence.
+    # Copies of a page, and near copies of the reference, are one piece of evidence.
     slots = (seen.select("host", "whole", F.inline("blocks")).where("slot is not null")
              .groupBy("host", "slot", "whole").agg(F.min("hash").alias("lo"), F.max("hash").alias("hi"))
              .groupBy("host", "slot").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import time
 import re
 
 import numpy as np
@@ -206,6 +207,79 @@ def test_tree_matching_is_the_best_one():
         assert shapes.weight(shapes.of(a)[0], shapes.of(b)[0]) == brute(a, b)
 
 
+def _table_pairs(shapes, x, y):
+    """The best matching from the whole table, with the same choice among equals."""
+    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i in range(len(x) - 1, -1, -1):
+        for j in range(len(y) - 1, -1, -1):
+            w = shapes.weight(x[i], y[j])
+            best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + w if w else 0)
+    return best[0][0]
+
+
+def test_long_lists_of_children_are_matched_as_well_as_short_ones(monkeypatch):
+    rng = random.Random(5)
+
+    def child():
+        node = html_wrapper.Node(rng.choice(["p", "ul", "h2"]), False)
+        node.children = [html_wrapper.Node("#text", False, "t") for _ in range(rng.randint(0, 4))]
+        return node
+
+    def parent(n):
+        node = html_wrapper.Node("div", False)
+        node.children = [child() for _ in range(n)]
+        return node
+
+    for size in (3, 17, 90):
+        a, b = parent(size), parent(size + 5)
+        shapes = html_wrapper.Shapes()
+        (_, left), (_, right) = shapes.of(a), shapes.of(b)
+        x, y = tuple(p[0] for p in left), tuple(p[0] for p in right)
+        by_table = shapes.pairs(x, y) if size < 60 else None
+        monkeypatch.setattr(html_wrapper, "_TABLE", 1)
+        by_rows, weight = shapes.pairs(x, y), html_wrapper.Shapes()
+        assert by_table is None or by_rows == by_table
+        assert sum(shapes.weight(x[i], y[j]) for i, j in by_rows) == _table_pairs(shapes, x, y)
+        assert all(i < k and j < m for (i, j), (k, m) in zip(by_rows, by_rows[1:]))
+        assert weight.weight(weight.of(a)[0], weight.of(b)[0]) == 1 + _table_pairs(shapes, x, y)
+        monkeypatch.undo()
+
+
+def test_twenty_thousand_mixed_children_align_within_seconds():
+    rng = random.Random(6)
+
+    def page():
+        return html_wrapper.parse("<article>" + "".join(
+            rng.choice(["<p>x", "<h2>t</h2>", "<ul><li>a<li>b</ul>", "<ul><li>a</ul>", f"<div class=c{rng.randint(0, 3000)}>d</div>"])
+            for _ in range(20_000)) + "</article>")
+
+    a, b = page(), page()
+    began = time.monotonic()
+    found = html_wrapper.aligned(a, b, html_wrapper.Shapes())
+    assert len(found) > 5000 and time.monotonic() - began < 60
+
+
+def test_trees_of_any_depth():
+    def page(text, depth=5000):
+        return html_wrapper.parse("<div>" * depth + f"<p>{text}</p><p>same</p>")
+
+    a, b = page("one"), page("two", 4990)
+    shapes = html_wrapper.Shapes()
+    assert len(html_wrapper.aligned(a, page("three"), shapes)) == 2
+    assert html_wrapper.aligned(a, b, shapes) == {}
+    back, texts = html_wrapper._unpacked(html_wrapper._packed(a))
+    assert shapes.of(back)[0] == shapes.of(a)[0] and sorted(texts.values()) == [3, 4]
+
+
+def test_formulas_and_labels_of_an_article_are_text():
+    def read(html):
+        return [b.text for b in html_wrapper.text_blocks(html_wrapper.parse(html)) if not b.marked]
+
+    assert read("<article><p>Energy is <math><mi>E</mi></math> here, <label>l</label> <output>4</output> "
+                "<object>o</object></article>") == ["Energy is E here, l 4 o"]
+    assert read("<article><p>a<form><label>l</label></form></article><label>out</label>") == ["a"]
+
+
 def test_chains_are_collinear_and_cover_a_planted_passage():
     rng = np.random.default_rng(1)
     x = np.concatenate([np.arange(100, 160, 6), rng.integers(0, 400, 20)]).astype(np.int64)

@@ -221,6 +221,26 @@ def test_copies_of_a_page_are_one_piece_of_evidence(spark):
         assert got[i] == "\n".join(f"{name} line {k}" for k in range(n))
 
 
+def test_near_copies_of_a_page_keep_their_article(spark):
+    """Versions of one article that differ in a line are no evidence for template."""
+    def page(name, n, date):
+        lines = "".join(f"<p>{name} line {k} of the text" for k in range(n))
+        return f"<html><div class=k>Same line</div><article><p>on day {date}{lines}</article>"
+
+    rows = [(i, f"http://h.com/{i}", page("long", 31, i)) for i in range(8)]
+    rows += [(10 + i, f"http://h.com/o{i}", page(f"short{i}", 22, i)) for i in range(4)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, _, _ in rows:
+        name, n = ("long", 31) if i < 10 else (f"short{i - 10}", 22)
+        assert got[i] == "\n".join([f"on day {i % 10}", *(f"{name} line {k} of the text" for k in range(n))])
+
+
+def test_deep_pages_do_not_end_the_job(spark):
+    rows = [(i, f"http://h.com/{i}", "<div>" * 5000 + f"<p>text {i}</p><p>same</p>") for i in range(4)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"text {i}" for i in range(4)}
+
+
 def test_pii(spark):
     rng = random.Random(5)
     other = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(6))
