@@ -13,11 +13,14 @@ A model file is compiled once per Python worker into one transducer:
   leave side by side.  A sequence all of whose neighbours pass is *the* BPE
   segmentation, so the shortest path is the model's own encoding.
 
-Encoding composes the transducer with the text lazily and takes the shortest path
-position by position; decoding runs it backwards.  Paths never cross a boundary
-between a space mark and the character before it (no piece does; this is checked
-when the model is compiled), so a text falls into chunks whose paths are
-remembered in a memo of bounded size.
+Paths never cross a boundary between a space mark and the character before it (no
+piece does; this is checked when the model is compiled), so a text falls into chunks
+whose paths are remembered in a memo of bounded size.  The pieces of a BPE model are
+compiled into flat arrays of states and arcs.  The new chunks of a batch are composed
+with them at once: every place of every chunk steps through the states, and each final
+state gives an arc of the composition; then the arcs into the first places of all
+chunks are relaxed, those into the second, and so on.  Long chunks and unigram models
+go one by one.  Decoding runs the transducer backwards.
 
 Defined results: null and empty texts encode to no ids; null ids decode to null.
 Texts of any length are read whole.  Repeated rows and clashing extra columns are
@@ -29,7 +32,7 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -43,6 +46,10 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Chunks and neighbours that a worker remembers.
 MEMO = 200_000
+#: Characters that are composed with the states at once, and the longest chunk that takes part.
+BATCH, SHORT = 1 << 20, 64
+#: Neighbours of pieces that are looked up without Python (a power of two).
+_SEEN = 1 << 20
 #: A unigram path pays this over the worst piece for an unknown character.
 UNKNOWN_PENALTY = 10.0
 
@@ -107,15 +114,27 @@ class PieceTransducer:
         # Neighbouring characters of some piece; no path joins any others.
         self._pairs = {t[i:i + 2] for t in self.ids for i in range(len(t) - 1)}
         self._chunks = _Memo(self._path)
+        self._known: dict[str, bytes] = {}
         self._beside: dict[int, bool] = {}
         self._sides: dict[tuple[str, bool], list[tuple[str, float]] | None] = {}
-        # The longest piece that starts with these two characters.
-        self._reach: dict[str, int] = {}
+        # The longest piece of 8 characters or more that starts with these 8, and the
+        # longest one of 4 to 7 that starts with these 4.
+        self._far: dict[str, int] = {}
+        self._near: dict[str, int] = {}
         for t in self.ids:
-            self._reach[t[:2]] = max(self._reach.get(t[:2], 0), len(t))
+            reach, key = (self._far, t[:8]) if len(t) >= 8 else (self._near, t[:4])
+            if len(t) >= 4:
+                reach[key] = max(reach.get(key, 0), len(t))
         self._split_of: dict[str, tuple[str, str] | None] = {}
+        # What a character that is no piece is written as, where that is one id.
+        alone = [self._written(chr(c)) for c in range(128)]
+        self._arcs = _Arcs(self.ids, self._pairs, [-3 - ids[0] if len(ids) == 1 else -1 for ids in alone]
+                           ) if self.bpe else None
         self._listed = [t.replace(MARK, " ") for t in self.text]
         self._plain = np.array([k in (NORMAL, USER, UNUSED) for k in self.kind])
+        for byte, i in self.bytes.items():
+            if byte < 128:  # never a part of a longer sequence
+                self._listed[i], self._plain[i] = chr(byte), True
         # A chunk: space marks and what follows up to the next mark.
         self._split = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
 
@@ -134,6 +153,72 @@ class PieceTransducer:
         """The ids as 32-bit numbers."""
         return b"".join(map(self._chunks.__getitem__, self._split(self.normalise(text))))
 
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """The ids of several texts, whose new chunks share one composition."""
+        split = [self._split(self.normalise(t)) for t in texts]
+        if not self._arcs:
+            return [b"".join(map(self._chunks.__getitem__, chunks)) for chunks in split]
+        known, paths = self._known.get, {chunk: b"" for chunk in set().union(*split)}
+        todo, size = [], 0
+        for chunk in paths:
+            path = known(chunk)
+            if path is not None:
+                paths[chunk] = path
+            elif len(chunk) > SHORT:
+                paths[chunk] = self._path(chunk)
+            else:
+                todo.append(chunk)
+                size += len(chunk)
+                if size >= BATCH:
+                    paths.update(zip(todo, self._shortest(todo)))
+                    todo, size = [], 0
+        if todo:
+            paths.update(zip(todo, self._shortest(todo)))
+        if len(self._known) + len(paths) > MEMO:
+            self._known.clear()
+        if len(paths) <= MEMO:
+            self._known.update((c, p) for c, p in paths.items() if len(c) <= SHORT)
+        return [b"".join(map(paths.__getitem__, chunks)) for chunks in split]
+
+    def _shortest(self, chunks: list[str]) -> list[bytes]:
+        """The shortest paths of many chunks: costs are 0 or infinite, and all chunks
+        are relaxed together, one place after the other."""
+        arcs = self._arcs
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        # A node before each character and one after the last; chunks lie one after the other.
+        first = np.concatenate([[0], np.cumsum(sizes + 1)])
+        start, end, piece, apart = arcs.compose("\0".join(chunks) + "\0")
+        local = end - np.repeat(first[:-1], sizes + 1)[end]
+        order = np.lexsort((end - start, local))
+        start, end, piece = start[order], end[order], piece[order]
+        steps = np.searchsorted(local[order], np.arange(1, sizes.max() + 2))
+        last = np.full(first[-1], -2, np.int64)  # the piece that leads to a node, -2: cost infinite
+        last[first[:-1]] = -1
+        back = np.zeros(first[-1], np.int64)
+        for a, b in zip(steps, steps[1:]):
+            left, right = last[start[a:b]], piece[a:b]
+            fine = left != -2
+            asked = np.flatnonzero(fine & (left >= 0) & (right >= 0) & ~apart[start[a:b]])
+            fine[asked] = arcs.may_follow(left[asked], right[asked], self._may_follow)
+            at = np.flatnonzero(fine) + a
+            last[end[at]], back[end[at]] = piece[at], start[at]
+        on_path = np.zeros(first[-1], bool)
+        node = first[1:] - 1
+        bad = last[node] == -2
+        begins = np.zeros(first[-1] + 1, bool)
+        begins[first] = True
+        node = node[~bad]
+        while len(node):
+            on_path[node] = True
+            node = back[node]
+            node = node[~begins[node]]
+        ids = np.where(last < -2, -3 - last, last)[on_path]
+        ends = np.concatenate([[0], np.cumsum(on_path)])[first]
+        spelt = np.add.reduceat(on_path & (last == -1), first[:-1]) > 0
+        data, ends = ids.astype(np.int32).tobytes(), (ends * 4).tolist()
+        return [self._path(chunk) if slow else data[a:b]
+                for chunk, slow, a, b in zip(chunks, (spelt | bad).tolist(), ends, ends[1:])]
+
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), np.int32).tolist()
 
@@ -172,11 +257,13 @@ class PieceTransducer:
     def _constrained(self, chunk: str) -> bytes:
         """The one path of finite cost, longest arcs first.  A prefix has one
         segmentation only, so a place from which no arc leads on is dead for all."""
-        get, beside, reach, size = self.ids.get, self._beside, self._reach, len(chunk)
+        get, beside, size = self.ids.get, self._beside, len(chunk)
+        far, near = self._far.get, self._near.get
         path: list[int] = []  # piece ids, -1 for a character that is no piece
         ends = [0]
         dead: set[int] = set()
-        at, length, last = 0, reach.get(chunk[:2], 1), -1
+        at, last = 0, -1
+        length = min(far(chunk[:8]) or near(chunk[:4], 3), size)
         while at < size:
             while length:
                 piece = get(chunk[at:at + length], -1)
@@ -194,7 +281,9 @@ class PieceTransducer:
                 at += length
                 ends.append(at)
                 last = piece
-                length = reach.get(chunk[at:at + 2], 1)
+                length = far(chunk[at:at + 8]) or near(chunk[at:at + 4], 3)
+                if length > size - at:
+                    length = size - at
             else:
                 dead.add(at)
                 path.pop()
@@ -285,7 +374,7 @@ class PieceTransducer:
     def _with_bytes(self, ids: list[int]) -> str:
         out, pending = [], bytearray()
         for i in ids:
-            if self.kind[i] == BYTE:
+            if self.kind[i] == BYTE and not self._plain[i]:
                 pending.append(int(self.text[i][1:-1], 16))
                 continue
             if pending:
@@ -300,6 +389,74 @@ class PieceTransducer:
         return "".join(out)
 
 
+class _Arcs:
+    """The pieces of a model as states and arcs in flat arrays, and what is known of
+    neighbouring pieces."""
+
+    def __init__(self, ids: dict[str, int], pairs: set[str], alone: list[int]):
+        states, arcs = {"": 0}, []
+        final = [-1]
+        for text in sorted(ids):
+            for n in range(1, len(text) + 1):
+                if text[:n] not in states:
+                    states[text[:n]] = len(states)
+                    arcs.append((states[text[:n - 1]] << 21 | ord(text[n - 1]), len(states) - 1))
+                    final.append(-1)
+            final[states[text]] = ids[text]
+        arcs.sort()
+        self.arcs = np.array([a for a, _ in arcs], np.int64)
+        self.to = np.array([b for _, b in arcs], np.int64)
+        self.final = np.array(final, np.int64)
+        self.pairs = np.array(sorted(ord(p[0]) << 21 | ord(p[1]) for p in pairs), np.int64)
+        self.alone = np.array([*alone, -1], np.int64)
+        self.seen = np.full(_SEEN, -1, np.int64)
+        self.told = np.zeros(_SEEN, bool)
+
+    def compose(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Arcs of the composition with a text: first and last node, piece (of a character
+        that is no piece -3 less the id of its byte, -1 if it takes several), and of each node whether no piece joins the characters at it."""
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        apart = np.ones(len(codes), bool)
+        apart[1:] = ~_found(self.pairs, codes[:-1] << 21 | codes[1:])[1]
+        node = np.flatnonzero(codes)
+        state = np.zeros(len(node), np.int64)
+        out, length = [], 0
+        while len(node):
+            at, known = _found(self.arcs, state << 21 | codes[node + length])
+            if not length:
+                lone = node[~known | (self.final[np.where(known, self.to[at], 0)] < 0)]
+                out.append((lone, lone + 1, self.alone[np.minimum(codes[lone], 128)]))
+            node, state, length = node[known], self.to[at[known]], length + 1
+            piece = self.final[state]
+            ends = piece >= 0
+            out.append((node[ends], node[ends] + length, piece[ends]))
+        start, end, piece = (np.concatenate(c) for c in zip(*out))
+        return start, end, piece, apart
+
+    def may_follow(self, left: np.ndarray, right: np.ndarray, ask: Callable[[int, int], bool]) -> np.ndarray:
+        """Which of these neighbours the merges leave side by side; ``ask`` tells new ones."""
+        key = left << 20 | right
+        at = (key * 0x9E3779B97F4A7C1 >> 17) & (_SEEN - 1)
+        out = self.told[at]
+        new = np.flatnonzero(self.seen[at] != key)
+        if len(new):
+            keys, which = np.unique(key[new], return_inverse=True)
+            told = np.array([ask(k >> 20, k & 0xFFFFF) for k in keys.tolist()], bool)
+            out[new] = told[which]
+            # Of two neighbours with one place, one stays; both arrays take the same one.
+            place, one = np.unique((keys * 0x9E3779B97F4A7C1 >> 17) & (_SEEN - 1), return_index=True)
+            self.seen[place], self.told[place] = keys[one], told[one]
+        return out
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted ``keys``, and whether each is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
 class _Memo(dict):
     """Paths of short chunks: the ``MEMO`` latest new ones, and those of the time
     before that are still in use."""
@@ -346,8 +503,8 @@ def encode_pieces(docs: DataFrame, model_path: str, text_column: str = "text",
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                encode, decode = _compiled(name).encode_bytes, _compiled(name).decode
-                paths = [encode(t.as_py() or "") for t in part.column(text_column)]
+                decode = _compiled(name).decode
+                paths = _compiled(name).encode_many([t.as_py() or "" for t in part.column(text_column)])
                 ends = np.cumsum([0, *map(len, paths)]) // 4
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
                                                pa.array(np.frombuffer(b"".join(paths), np.int32)))

@@ -141,6 +141,32 @@ def test_transducer_equals_the_library():
         assert ours.decode(ours.encode(text)) == text
 
 
+def test_chunks_relaxed_together_equal_the_library(monkeypatch):
+    spm = pytest.importorskip("sentencepiece")
+    if not os.path.exists(MODEL_PATH):
+        pytest.skip("no model file")
+    from oddsframe.llm import piece_transducer
+
+    with open(MODEL_PATH, "rb") as f:
+        ours = piece_transducer.PieceTransducer(f.read())
+    library = spm.SentencePieceProcessor(model_file=MODEL_PATH)
+    rng = random.Random(1)
+    letters = "abcdeghilnorstuy  .,-019\n\x00éß日本🙂"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 90))) for _ in range(3000)]
+    texts += ["", " ", "x" * 70, "a" * 5000, texts[0]]
+    want = [library.encode(t) for t in texts]
+    monkeypatch.setattr(piece_transducer, "BATCH", 4000)   # several compositions in one call
+    for _ in range(2):                                     # new chunks, then known ones
+        got = ours.encode_many(texts)
+        assert [np.frombuffer(p, np.int32).tolist() for p in got] == want
+    monkeypatch.setattr(piece_transducer, "_SEEN", 16)     # neighbours that share a place
+    small = piece_transducer.PieceTransducer(open(MODEL_PATH, "rb").read())
+    monkeypatch.setattr(piece_transducer, "MEMO", 10)
+    assert small.encode_many(texts) == got
+    assert ours.encode_many([]) == []
+    assert [ours.decode(i) for i in want] == texts
+
+
 def test_unigram_paths_cost_least():
     from oddsframe.llm.piece_transducer import PieceTransducer
 
