@@ -374,3 +374,19 @@ def test_max_tree_values_may_fall():
         low, high = sorted(int(v) for v in rng.integers(1, 38, 2))
         best = max((v for k, v in held.items() if low <= k <= high and v is not None), default=None)
         assert tree.value[tree.best(low, high)] == best
+
+
+def test_chains_of_many_groups_are_those_of_each():
+    rng = np.random.default_rng(12)
+    parts = []
+    for g in range(60):
+        x = np.cumsum(rng.choice([1, 2, 5, 6, 9, 40, 60], 50))
+        y = x + 400 + np.cumsum(np.where(rng.random(50) < 0.05, rng.integers(5, 30, 50), 0))
+        y = np.where(rng.random(50) < 0.02 * (g % 4), rng.integers(0, 600, 50), y)
+        parts.append((x, y, np.full(50, g)))
+    x, y, group = map(np.concatenate, zip(*parts))
+    matches, first = passages.chains_of_groups(x, y, group, 2)
+    got = sorted(tuple(matches[a:b].tolist()) for a, b in zip(first, first[1:]))
+    assert got == sorted(tuple(50 * g + i for i in links) for g, (a, b, _) in enumerate(parts)
+                         for links in passages.chain(a, b) if len(links) > 1)
+    assert len(passages.chains_of_groups(x[:0], y[:0], group[:0], 2)[0]) == 0

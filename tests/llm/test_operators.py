@@ -368,3 +368,17 @@ def test_held_out_accuracy(spark):
     right, all_rows = found.where("lang_pred = lang").count(), found.count()
     print("held-out accuracy", right, "of", all_rows)
     assert right >= 0.95 * all_rows > 0
+
+
+def test_passages_whose_seeds_were_first_held_elsewhere(spark):
+    rng = random.Random(46)
+    shared = prose(rng, 90)
+    lines = [shared[i:i + 15] for i in range(0, 90, 15)]
+    texts = [" ".join(prose(rng, 20) + line + prose(rng, 20)) for line in lines]
+    texts.append(" ".join([w for line in lines[::-1] for w in line + prose(rng, 50)]))
+    texts.append(" ".join(prose(rng, 30) + shared + prose(rng, 10)))
+    edited = [w if i % 30 != 17 else f"edit{i}" for i, w in enumerate(shared)]
+    texts.append(" ".join(prose(rng, 25) + edited + prose(rng, 40)))
+    rows = {(r.doc_id, r.ref_id): r for r in repeated_passages(documents(spark, texts)).collect()}
+    assert set(rows) == {(8, 7)}
+    assert (rows[8, 7].start_word, rows[8, 7].end_word, rows[8, 7].ref_start, rows[8, 7].matched) == (25, 115, 30, 87)
