@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, free_name, release, row_key
+from .common import cut, filter_bits, free_name, release, row_key
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -85,6 +85,24 @@ def _blocks(radius: int) -> Column:
                      for i, (a, w) in enumerate(hamming_blocks(radius))])
 
 
+def with_flag(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
+    """``rows`` with the boolean ``flag``: whether the long ``key`` may be one of ``keys`` (of its only
+    column; none that is gets false).  The bitmaps that tell are sent to every task: one megabyte,
+    16 at most, whatever ``keys`` holds.  What may be is for an exact join to decide; the rest need not move."""
+    size = F.lit(filter_bits(keys.count()))
+    slot = F.pmod(F.col(f"`{keys.columns[0]}`"), size) + 1
+    maps = (keys.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit"))
+            .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map")))
+    bucket, bits = free_name(rows, "bucket"), free_name(rows, "map")
+    maps = maps.withColumnsRenamed({"bucket": bucket, "map": bits})
+    slot = F.pmod(F.col(f"`{key}`"), size) + 1
+    bit = F.bitmap_bit_position(slot).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(bit, 3) + 1, 1)), 16, 10).cast("int")
+    told = F.coalesce(F.getbit(byte, bit.bitwiseAND(7)) == 1, F.lit(False))
+    return (rows.withColumn(bucket, F.bitmap_bucket_number(slot)).join(F.broadcast(maps), bucket, "left")
+            .withColumn(flag, told).drop(bucket, bits))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                  item_column: str = "item_id", item_text: str = "text", radius: int = RADIUS,
                  threshold: float = THRESHOLD) -> DataFrame:
@@ -113,7 +131,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     ranges = F.expr("""flatten(transform(sequence(0, size(at) - need), i ->
         if(at[i + need - 1] - at[i] < n, sequence(greatest(at[i + need - 1] - n + 1, 0), at[i]), array())))""")
     starts = cut(places.select("key", "m", F.explode(ranges).alias("start")).distinct())
-    held = cut(rows.join(starts.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    named = starts.select("key").distinct()
+    held = cut(with_flag(rows, named, "key", "maybe").where("maybe").drop("maybe")
+               .join(named, "key", "left_semi").dropDuplicates(["key"])
                .select("key", "id", words_of(F.col("text")).alias("words")))
     windows = cut(starts.join(held, "key").select(
         "key", "id", "start", "m", F.slice("words", F.col("start") + 1, F.col("m")).alias("window")))
@@ -155,7 +175,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
     bad = cut(contaminated(docs, benchmark, id_column, text_column, **options).select("row_key").distinct())
     key = free_name(docs, "row_key")
     keyed = docs.withColumn(key, row_key(id_column, text_column))
-    return keyed.join(bad.withColumnRenamed("row_key", key), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    flag = free_name(keyed, "maybe")
+    told = with_flag(keyed, bad, key, flag)
+    kept = told.where(f"`{flag}`").join(bad.withColumnRenamed("row_key", key), key, "left_anti")
+    return told.where(f"not `{flag}`").unionByName(kept).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 #: DuckDB: for each document and item with a shared shingle every window.

@@ -8,10 +8,11 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from oddsframe.llm import chat, ngram_join
 from oddsframe.llm.common import components, connect
-from oddsframe.llm.decontamination import contaminated, decontaminate
+from oddsframe.llm.decontamination import contaminated, decontaminate, with_flag
 from oddsframe.llm.embedding_dedup import near_vectors
 from oddsframe.llm.html_wrapper import main_text
 from oddsframe.llm.language_id import identify_languages
@@ -382,3 +383,28 @@ def test_passages_whose_seeds_were_first_held_elsewhere(spark):
     rows = {(r.doc_id, r.ref_id): r for r in repeated_passages(documents(spark, texts)).collect()}
     assert set(rows) == {(8, 7)}
     assert (rows[8, 7].start_word, rows[8, 7].end_word, rows[8, 7].ref_start, rows[8, 7].matched) == (25, 115, 30, 87)
+
+
+def test_flags_let_every_wanted_row_through(spark):
+    rows = spark.range(-4000, 4000).select(F.xxhash64("id").alias("key"), "id", F.lit("x").alias("map"))
+    wanted = rows.where("id % 100 = 0 or id < -3990").select(F.col("key").alias("k"))
+    told = with_flag(rows, wanted, "key", "maybe")
+    assert told.columns == ["key", "id", "map", "maybe"]
+    got = {r.id: r.maybe for r in told.collect()}
+    assert len(got) == 8000 and all(m for i, m in got.items() if i % 100 == 0 or i < -3990)
+    assert sum(got.values()) < 200 and not any(r.maybe for r in with_flag(rows, wanted.limit(0), "key", "maybe").collect())
+    assert not with_flag(rows.limit(1).withColumn("key", F.lit(None).cast("long")), wanted, "key", "maybe").first().maybe
+    # Rows meet the filter where they are.
+    assert "SortMergeJoin" not in told._jdf.queryExecution().executedPlan().toString()
+
+
+def test_decontamination_keeps_clean_rows_whatever_their_columns(spark):
+    rng = random.Random(56)
+    item = prose(rng, 30)
+    texts = [" ".join(prose(rng, 60)) for _ in range(50)] + [" ".join(prose(rng, 9) + item + prose(rng, 9)), None, ""]
+    docs = documents(spark, texts, [*range(51), None, None]).withColumn("map", F.lit(1)).withColumn("maybe", F.lit(2))
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    clean = decontaminate(docs, benchmark)
+    assert clean.columns == docs.columns
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in clean.collect()) == [
+        *[(False, i) for i in range(50)], (True, 0), (True, 0)]
