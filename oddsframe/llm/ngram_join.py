@@ -334,18 +334,19 @@ def _of_classes(words: int, wanted: np.ndarray, column: str, made):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            rows = []
-            for _, s in _sets(batch, words):
-                if not len(s) or (name := class_of(s)) in seen:
-                    continue
-                seen.add(name)
-                rows.append((name, s))
-            rows = [r for r, keep in zip(rows, in_filter(wanted, np.array([n for n, _ in rows], np.int64)))
-                    if keep]
-            yield pa.RecordBatch.from_pydict({
-                "cls": pa.array([n for n, _ in rows], pa.int64()),
-                "n": pa.array([len(s) for _, s in rows], pa.int32()),
-                column: pa.array([made(s) for _, s in rows], pa.binary())})
+            text = batch.column("text")
+            for first, last in chunks(text):  # only a chunk's sets are held at once
+                sets = [s for s in shingle_sets(text.slice(first, last - first), words) if len(s)]
+                names = np.array([class_of(s) for s in sets], np.int64)
+                rows = []
+                for name, s, keep in zip(names.tolist(), sets, in_filter(wanted, names)):
+                    if keep and name not in seen:
+                        seen.add(name)
+                        rows.append((name, s))
+                yield pa.RecordBatch.from_pydict({
+                    "cls": pa.array([n for n, _ in rows], pa.int64()),
+                    "n": pa.array([len(s) for _, s in rows], pa.int32()),
+                    column: pa.array([made(s) for _, s in rows], pa.binary())})
 
     return kernel
 

@@ -390,3 +390,14 @@ def test_chains_of_many_groups_are_those_of_each():
     assert got == sorted(tuple(50 * g + i for i in links) for g, (a, b, _) in enumerate(parts)
                          for links in passages.chain(a, b) if len(links) > 1)
     assert len(passages.chains_of_groups(x[:0], y[:0], group[:0], 2)[0]) == 0
+
+
+def test_chunks_of_a_batch_give_its_classes_once(monkeypatch):
+    texts = [f"w{i % 40} a b c d e {i % 40}" for i in range(120)] + [None, "", "x"]
+    wanted = np.full(1 << 10, 255, np.uint8)
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    want = [r for out in ngram_join._arrays(5, wanted)(iter([batch])) for r in out.to_pylist()]
+    monkeypatch.setattr(words.chunks, "__defaults__", (200,))
+    parts = list(ngram_join._arrays(5, wanted)(iter([batch])))
+    assert [r for out in parts for r in out.to_pylist()] == want and len(want) == 41
+    assert max(out.num_rows for out in parts) < 20
