@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fold
+from .common import cut, fold, lean, return_memory
 from .words import chunks, utf8
 
 DIMS = 4096
@@ -41,6 +41,8 @@ SAMPLE = 400
 REJECT_SHARE = 0.5
 UNKNOWN = "und"
 _ROWS, _BYTES = 128, 1 << 20
+#: Bytes whose n-grams are counted at once.
+_SEGMENT = 1 << 18
 
 
 def _letters(data: np.ndarray) -> np.ndarray:
@@ -65,8 +67,8 @@ def gram_counts(column: pa.Array) -> np.ndarray:
     keep[1:] = (letters[1:] != 32) | (letters[:-1] != 32)
     at = np.concatenate([[0], np.cumsum(keep)])[at]
     letters = letters[keep]
-    for start in range(0, len(letters), _BYTES):
-        stop = min(start + _BYTES, len(letters))
+    for start in range(0, len(letters), _SEGMENT):
+        stop = min(start + _SEGMENT, len(letters))
         first = int(np.searchsorted(at, start, "right")) - 1
         last = int(np.searchsorted(at, stop, "left"))
         rows = np.repeat(np.arange(first, last), np.diff(np.clip(at[first:last + 1], start, stop)))
@@ -82,7 +84,8 @@ def gram_counts(column: pa.Array) -> np.ndarray:
             if n == 1:
                 whole &= seg[:m] != 32
             slot = ((code * np.uint32(2654435761) + np.uint32(n * 40503)) >> np.uint32(20)).astype(np.int64)
-            counts += np.bincount(rows[:m][whole] * DIMS + slot[whole], minlength=len(counts))
+            counts[first * DIMS:last * DIMS] += np.bincount((rows[:m][whole] - first) * DIMS + slot[whole],
+                                                            minlength=(last - first) * DIMS)
     return counts.reshape(len(column), DIMS)
 
 
@@ -148,6 +151,8 @@ def fit_centroids(training: DataFrame, idf: np.ndarray, sample: int = SAMPLE) ->
             return pd.DataFrame({"lang": [], "floor": [], "centre": []})
         centres = spherical_means(x, min(CENTROIDS, len(x)))
         floor = float((x @ centres.T).max(1).min()) * REJECT_SHARE
+        del x
+        return_memory()
         return pd.DataFrame({"lang": frame.lang.iloc[0], "floor": floor,
                              "centre": [c.astype(np.float32).tobytes() for c in centres]})
 
@@ -197,6 +202,7 @@ def _predict(model: pd.DataFrame, idf: np.ndarray, text_column: str, kept: list[
     floors = np.array(model.floor, float)
     centres = np.array([np.frombuffer(c, np.float32) for c in model.centre]).reshape(-1, DIMS)
 
+    @lean("language_id")
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(text_column)

@@ -41,13 +41,15 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import kept_between_tasks, lean
+
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Chunks and neighbours that a worker remembers.
 MEMO = 200_000
 #: Characters that are composed with the states at once, and the longest chunk that takes part.
-BATCH, SHORT = 1 << 20, 64
+BATCH, SHORT = 1 << 17, 64
 #: Neighbours of pieces that are looked up without Python (a power of two).
 _SEEN = 1 << 20
 #: A unigram path pays this over the worst piece for an unknown character.
@@ -486,6 +488,9 @@ def _compiled(name: str) -> PieceTransducer:
         return PieceTransducer(f.read())
 
 
+kept_between_tasks("sentencepiece", _compiled.cache_clear)
+
+
 def share_model(docs: DataFrame, path: str) -> str:
     """Have Spark send the model file to every executor; its name there."""
     docs.sparkSession.sparkContext.addFile(path)
@@ -499,6 +504,7 @@ def encode_pieces(docs: DataFrame, model_path: str, text_column: str = "text",
     name = share_model(docs, model_path)
     columns = [c for c in docs.columns if c not in (ids_column, decoded_column)]
 
+    @lean("sentencepiece")
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
@@ -527,6 +533,7 @@ def decode_pieces(docs: DataFrame, model_path: str, ids_column: str = "piece_ids
     name = share_model(docs, model_path)
     columns = [c for c in docs.columns if c != text_column]
 
+    @lean("sentencepiece")
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 500):

@@ -8,6 +8,7 @@ import time
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -401,3 +402,27 @@ def test_chunks_of_a_batch_give_its_classes_once(monkeypatch):
     parts = list(ngram_join._arrays(5, wanted)(iter([batch])))
     assert [r for out in parts for r in out.to_pylist()] == want and len(want) == 41
     assert max(out.num_rows for out in parts) < 20
+
+
+def test_a_worker_forgets_the_transducer_when_another_operator_begins(monkeypatch):
+    from oddsframe.llm import piece_transducer
+
+    monkeypatch.setattr(piece_transducer.SparkFiles, "get", lambda name: MODEL_PATH)
+    kept = piece_transducer._compiled("model")
+    assert piece_transducer._compiled("model") is kept
+    model = pd.DataFrame({"lang": [], "floor": [], "centre": []})
+    kernel = language_id._predict(model, np.ones(language_id.DIMS), "text", ["text"], True)
+    list(kernel(iter([pa.RecordBatch.from_pydict({"text": ["a text"]})])))
+    assert piece_transducer._compiled.cache_info().currsize == 0
+
+
+def test_gram_counts_hold_little_beside_the_counts():
+    import tracemalloc
+
+    texts = pa.array(["some words of a text " * 400] * 120)
+    tracemalloc.start()
+    counts = language_id.gram_counts(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.sum() > 120 * 8000
+    assert peak < 40 << 20
