@@ -426,3 +426,49 @@ def test_gram_counts_hold_little_beside_the_counts():
     tracemalloc.stop()
     assert counts.sum() > 120 * 8000
     assert peak < 40 << 20
+
+
+def test_minimisers_of_many_texts_are_those_of_each(monkeypatch):
+    monkeypatch.setattr(passages, "_SLICE", 64)
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        sizes = rng.choice([0, 3, 5, 7, 8, 64, 68, 69, 70, 71, 72, 133, 134, 135, 200], 9)
+        text = rng.integers(0, 30, sizes.sum()).astype(np.uint64)
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        every, want = words.sequence_hashes(text, passages.K), []
+        for s, e in zip(first[:-1], first[1:]):
+            own = every[s:max(s, e - passages.K + 1)]
+            places = [passages.minimisers(own[i:i + 64 + passages.WINDOW - 1]) + i for i in range(0, len(own), 64)]
+            want += [s + p for p in sorted(set(np.concatenate(places).tolist()))] if places else []
+        place, text_of = passages.text_minimisers(every, first)
+        assert place.tolist() == want
+        assert all(first[d] <= p < first[d + 1] for p, d in zip(place, text_of))
+
+
+def test_blocks_of_seeds_name_the_first_holder():
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    passage = " ".join(vocabulary[:40])
+    texts = [None, "", passage] + [" ".join(rng.choice(vocabulary, 30)) + " " + passage * (i % 2) for i in range(20)]
+    ids = rng.integers(0, 12, len(texts))
+    batches = [pa.RecordBatch.from_pydict({"id": ids[a:a + 4], "text": pa.array(texts[a:a + 4], pa.string())})
+               for a in range(0, len(texts), 4)]
+    held = {}
+    for h, own, pos in passages._chunk_seeds(iter(batches)):
+        for seed, i, p in zip(h.view(np.int64).tolist(), own.tolist(), pos.tolist()):
+            held.setdefault(seed, set()).add((i, p))
+    want = {(seed, *min(places)) for seed, places in held.items() if len({i for i, _ in places}) > 1}
+    blocks = pa.Table.from_batches(passages._blocks(4)(iter(batches))).combine_chunks().sort_by("range")
+    found = pa.Table.from_batches(passages._first_holders(iter(blocks.to_batches(max_chunksize=3))))
+    assert sorted(zip(*(found.column(c).to_pylist() for c in ("h", "ref", "ref_pos")))) == sorted(want)
+
+
+def test_hashes_of_long_runs_tell_runs_apart():
+    text = np.random.default_rng(7).integers(0, 2, 3000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for n in (1, 3, 31, 50, 64):
+        named = {}
+        found = words.long_sequence_hashes(text, n).tolist()
+        assert len(found) == 3001 - n
+        for i, h in enumerate(found):
+            assert named.setdefault(text[i:i + n].tobytes(), h) == h
+        assert len(set(named.values())) == len(named)
