@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (components, connect, cut, filter_bits, fold, free_name, group_starts, in_filter, key_filter,
-                     partitions, release, row_key, runs)
+                     lean, partitions, release, row_key, runs)
 from .words import chunks, shingle_sets
 
 #: Counters of the sketch that tells which shingles many documents hold.
@@ -50,6 +51,8 @@ SKETCH_BITS = 18
 FREQUENT_SIGMAS = 8
 #: Classes of a tile that one task compares at once.
 BLOCK = 1024
+#: Bytes of text whose sets a task holds at once.
+CHUNK = 1 << 19
 _CELLS = 1 << 21  # 64-bit words compared at a time
 _SMALL = 12  # tiles under this many classes are compared with plain integers
 
@@ -259,22 +262,24 @@ def _mixed_tiles(live: DataFrame, labels: DataFrame, block: int) -> DataFrame:
     return rows.join(tiles, "shingle").select("shingle", "cls", "label", F.explode(where).alias("block"))
 
 
-def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
+def _sets(batch: pa.RecordBatch, words: int) -> Iterator[Iterator[np.ndarray]]:
+    """The sets of each chunk of texts."""
     text = batch.column("text")
-    for first, last in chunks(text):
-        yield from enumerate(shingle_sets(text.slice(first, last - first), words), first)
+    for first, last in chunks(text, CHUNK):
+        yield shingle_sets(text.slice(first, last - first), words)
 
 
 def _describe(words: int):
     """A row for each document, and one with the counts of a task's shingles."""
     size = 1 << SKETCH_BITS
 
+    @lean("ngram_join")
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, np.int64)
         names = ["row_key", "id", "cls", "n", "sketch"]
         for batch in batches:
             rows, held = [], [np.zeros(0, np.int64)]
-            for _, s in _sets(batch, words):
+            for s in chain.from_iterable(_sets(batch, words)):
                 rows.append((class_of(s) if len(s) else None, len(s)))
                 held.append((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
                 if len(held) > 1000:
@@ -309,33 +314,36 @@ def _frequent(sketches: DataFrame) -> np.ndarray:
 def _prefixes(words: int, percent: int, frequent: np.ndarray, held: np.ndarray | None = None):
     """The shingles by which a class enters tiles, all or those that ``held`` may hold."""
 
+    @lean("ngram_join")
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # classes of this task: copies add nothing
         for batch in batches:
-            names, parts = [], []
-            for _, s in _sets(batch, words):
-                if not len(s) or (name := class_of(s)) in seen:
-                    continue
-                seen.add(name)
-                late = frequent[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                names.append(name)
-                parts.append(np.concatenate([s[~late], s[late]])[:prefix_length(len(s), percent)])
-                if held is not None:
-                    parts[-1] = parts[-1][in_filter(held, parts[-1].view(np.int64))]
-            if names:
-                yield pa.RecordBatch.from_pydict({
-                    "shingle": pa.array(np.concatenate(parts).view(np.int64)),
-                    "cls": pa.array(np.repeat(np.array(names, np.int64), [len(p) for p in parts]))})
+            for sets in _sets(batch, words):
+                names, parts = [], []
+                for s in sets:
+                    if not len(s) or (name := class_of(s)) in seen:
+                        continue
+                    seen.add(name)
+                    late = frequent[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                    names.append(name)
+                    parts.append(np.concatenate([s[~late], s[late]])[:prefix_length(len(s), percent)])
+                    if held is not None:
+                        parts[-1] = parts[-1][in_filter(held, parts[-1].view(np.int64))]
+                if names:
+                    yield pa.RecordBatch.from_pydict({
+                        "shingle": pa.array(np.concatenate(parts).view(np.int64)),
+                        "cls": pa.array(np.repeat(np.array(names, np.int64), [len(p) for p in parts]))})
 
     return kernel
 
 
 def _of_classes(words: int, wanted: np.ndarray, column: str, made):
+    @lean("ngram_join")
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             text = batch.column("text")
-            for first, last in chunks(text):  # only a chunk's sets are held at once
+            for first, last in chunks(text, CHUNK):  # only a chunk's sets are held at once
                 sets = [s for s in shingle_sets(text.slice(first, last - first), words) if len(s)]
                 names = np.array([class_of(s) for s in sets], np.int64)
                 rows = []
@@ -360,6 +368,7 @@ def _arrays(words: int, wanted: np.ndarray):
 
 
 def _tiles(percent: int, every: bool):
+    @lean("ngram_join")
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, ["shingle", "block"]):
             col = {k: table.column(k).to_numpy() for k in ("shingle", "block", "cls", "label", "n")}
@@ -386,6 +395,7 @@ def _tiles(percent: int, every: bool):
 
 
 def _intersect(percent: int):
+    @lean("ngram_join")
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, free_name, in_filter, key_filter, row_key
+from .common import cut, free_name, in_filter, key_filter, lean, row_key
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on each side of a protected value that count as beside it.
@@ -138,6 +138,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _term_counts(wanted: np.ndarray):
+    @lean("pii")
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         known: dict[str, int | None] = {}
@@ -191,6 +192,7 @@ def revealing_terms(docs: DataFrame, text_column: str = "text", support: int = S
 
 
 def _term_spans(wanted: np.ndarray):
+    @lean("pii")
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[int, int, int, int]] = []
@@ -233,6 +235,7 @@ def _with_spans(docs: DataFrame, id_column: str, text_column: str, clean: bool,
         spans = F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>")
         schema = docs.select(*[F.col(f"`{c}`") for c in columns], spans.alias("pii_spans")).schema
 
+    @lean("pii")
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
         for batch in batches:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import time
+import tracemalloc
 import re
 
 import numpy as np
@@ -417,8 +418,6 @@ def test_a_worker_forgets_the_transducer_when_another_operator_begins(monkeypatc
 
 
 def test_gram_counts_hold_little_beside_the_counts():
-    import tracemalloc
-
     texts = pa.array(["some words of a text " * 400] * 120)
     tracemalloc.start()
     counts = language_id.gram_counts(texts)
@@ -472,3 +471,18 @@ def test_hashes_of_long_runs_tell_runs_apart():
         for i, h in enumerate(found):
             assert named.setdefault(text[i:i + n].tobytes(), h) == h
         assert len(set(named.values())) == len(named)
+
+
+def test_prefixes_hold_the_sets_of_a_chunk_only():
+    rng = np.random.default_rng(11)
+    texts = pa.array([" ".join(map(str, rng.integers(0, 1 << 30, 250))) for _ in range(2500)])
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    kernel = ngram_join._prefixes(5, 80, np.zeros(1 << ngram_join.SKETCH_BITS, bool))
+    rows = 0
+    tracemalloc.start()
+    for out in kernel(iter([batch])):
+        rows += out.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 2500 * ngram_join.prefix_length(246, 80)
+    assert peak < 14 << 20, peak
