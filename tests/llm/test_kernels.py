@@ -486,3 +486,60 @@ def test_prefixes_hold_the_sets_of_a_chunk_only():
     tracemalloc.stop()
     assert rows == 2500 * ngram_join.prefix_length(246, 80)
     assert peak < 14 << 20, peak
+
+
+def odd_texts(rng):
+    """Two texts of common lines, runs of one word and prose, with edited copies of each other's parts."""
+    names = np.array([f"w{i}" for i in range(400)])
+    lines = [rng.choice(names, rng.integers(6, 30)).tolist() for _ in range(6)]
+
+    def piece():
+        kind = rng.integers(4)
+        if kind == 0:
+            return list(lines[rng.integers(6)])
+        if kind == 1:
+            return [str(names[rng.integers(3)])] * int(rng.integers(5, 60))
+        return rng.choice(names, rng.integers(5, 40)).tolist()
+
+    one = [w for _ in range(8) for w in piece()]
+    two = []
+    for _ in range(5):
+        a = int(rng.integers(len(one)))
+        copy = one[a:a + int(rng.integers(10, 120))]
+        rate = rng.choice([0, 0.1, 0.2])
+        two += [w for w in copy for w in ([w] if rng.random() >= rate else [["edit"], [], [w, "more"]][rng.integers(3)])]
+        two += piece()
+    return " ".join(one), " ".join(two)
+
+
+def test_contexts_that_are_ruled_out_hold_no_passage():
+    every, accepted, ruled_out, all_pairs = np.full(64, 255, np.uint8), 0, 0, 0
+    for trial in range(5):
+        texts = odd_texts(np.random.default_rng(trial))
+        batch = pa.RecordBatch.from_pydict({"id": pa.array([0, 1]), "text": pa.array(texts)})
+        (_, words_, place, first, of, _, _, y, y2), = passages._chunk_pairs(iter([batch]), every, every, 100)
+        shown = pa.Table.from_batches(passages._contexts(every, every, every, every, 100)(iter([batch])))
+        around = np.stack([np.frombuffer(w.as_py(), np.uint32) for w in shown.column("words")])
+        gap, seeds = shown.column("gap").to_numpy(), [np.frombuffer(w.as_py(), np.uint16) for w in shown.column("seeds")]
+        at = {(int(o), int(a - first[o]), int(b - first[o])): n for n, (o, a, b) in enumerate(zip(of, y, y2))}
+        text = [words_[first[o]:first[o + 1]] for o in (0, 1)]
+        h = [words.sequence_hashes(t, passages.K) for t in text]
+        own = [place[(place >= first[o]) & (place < first[o + 1])] - first[o] for o in (0, 1)]
+        same = np.argwhere(h[1][own[1]][:, None] == h[0][own[0]][None])
+        x, ref = own[1][same[:, 0]], own[0][same[:, 1]]
+        matches, begins = passages.chains_of_groups(x, ref, np.zeros(len(x), np.int64), 2)
+        wanted = []
+        for a, b in zip(begins, begins[1:]):
+            xs, ys = x[matches[a:b]], ref[matches[a:b]]
+            s, e, rs, re_, matched = passages.align(text[1], text[0], xs, ys)
+            # Where a passage is no longer than the contexts, each of its pairs says that there is one.
+            if 50 <= min(e - s, re_ - rs) and max(e - s, re_ - rs) <= min(100, matched / 0.8):
+                wanted += [(at[1, int(p), int(q)], at[0, int(u), int(v)]) for p, q, u, v in zip(xs, xs[1:], ys, ys[1:])]
+        left, right = np.flatnonzero(of == 1), np.flatnonzero(of == 0)
+        left = np.unique([*left[::40], *[i for i, _ in wanted]])
+        alike = {(i, int(j)) for i, some in passages._alike(around, gap, seeds, left, right, 50, 40.0, 100) for j in some}
+        assert set(wanted) <= alike
+        accepted += len(wanted)
+        ruled_out, all_pairs = ruled_out + len(left) * len(right) - len(alike), all_pairs + len(left) * len(right)
+    print("links of passages", accepted, "ruled out", ruled_out, "of", all_pairs)
+    assert accepted > 100 and ruled_out > 0.02 * all_pairs
