@@ -15,7 +15,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from oddsframe.llm import html_wrapper, language_id, ngram_join, passages, pii, words
+from oddsframe.llm import common, html_wrapper, language_id, ngram_join, passages, pii, words
 from oddsframe.llm.decontamination import hamming_blocks
 from oddsframe.llm.embedding_dedup import code_shape, rotations
 from oddsframe.llm.queries import MODEL_PATH
@@ -543,3 +543,20 @@ def test_contexts_that_are_ruled_out_hold_no_passage():
         ruled_out, all_pairs = ruled_out + len(left) * len(right) - len(alike), all_pairs + len(left) * len(right)
     print("links of passages", accepted, "ruled out", ruled_out, "of", all_pairs)
     assert accepted > 100 and ruled_out > 0.02 * all_pairs
+
+
+def test_sequences_of_one_document_stay_whatever_the_filter_holds():
+    rng = np.random.default_rng(9)
+    shared, lone = rng.integers(0, 1 << 60, 80), rng.integers(0, 1 << 60, 400)
+    texts = [" ".join(f"w{w}" for w in [*lone[:200], *shared, *lone[200:]]), " ".join(f"w{w}" for w in shared)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([4, 7]), "text": pa.array(texts)})
+    full, held = np.full(64, 255, np.uint8), np.zeros(1 << 12, np.uint8)
+    words_, first = words.text_words(batch.column("text"))
+    every = words.sequence_hashes(words_[200:280], passages.K)
+    for slot in common._slots(every.view(np.int64), 1 << 15):
+        np.bitwise_or.at(held, slot >> 3, (128 >> (slot & 7)).astype(np.uint8))
+    rows = pa.Table.from_batches(passages._held(full, held, 50)(iter([batch])))
+    found = set(zip(rows.column("id").to_pylist(), rows.column("pos").to_pylist()))
+    whole = {(4, 200 + p) for p in range(31)} | {(7, p) for p in range(31)}
+    assert whole <= found and len(found) < len(whole) + 10
+    assert len(pa.Table.from_batches(passages._held(full, full, 50)(iter([batch])))) == 431 + 31
