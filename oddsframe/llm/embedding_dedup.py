@@ -15,7 +15,8 @@ chance members at any size, and the number of bands follows from the wanted
 ``recall`` at the threshold.  A pair is taken up in the first band that it
 agrees on.  Equal vectors are one class beforehand.  Buckets over ``block``
 vectors are dealt out in pairs of blocks: each pair of blocks is a task's work,
-and no bucket meets in one task.
+and no bucket meets in one task.  A task works on ``PAIRS`` pairs at a time and gives for
+each vector how many it links with and one that its links there lead to, not the links.
 
 Defined results: vectors that are null, empty, zero or hold null, NaN or infinite
 components link with nothing (``n_links`` 0, ``component_id`` their own id).
@@ -43,6 +44,10 @@ MISS = 0.01
 Z = 5.0
 #: Vectors of a bucket that one task compares with as many others.
 BLOCK = 2048
+#: Pairs whose codes and components are compared at once.
+PAIRS = 1 << 15
+#: Components of vectors that are turned at once.
+_TURNED = 1 << 21
 
 
 def code_shape(count: int, threshold: float, miss: float = MISS) -> tuple[int, int]:
@@ -89,16 +94,13 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
                      F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("cls", "band", "bucket", "own", F.least("own", "other").alias("lo"),
                      F.greatest("own", "other").alias("hi")))
-    tiles = (dealt.join(codes.drop("keys"), "cls")
+    sizes = classes.select("cls", "size")
+    tiles = (dealt.join(codes.drop("keys"), "cls").join(sizes, "cls")
              .repartition(partitions(vectors), "band", "bucket", "lo", "hi")
              .sortWithinPartitions("band", "bucket", "lo", "hi"))
-    links = cut(tiles.mapInArrow(_compare(threshold, width, bands, seed), "a long, b long"))
+    links = cut(tiles.mapInArrow(_compare(threshold, width, bands, seed), "a long, b long, others long"))
 
-    sizes = classes.select("cls", "size")
-    degree = (links.select(F.col("a").alias("cls"), F.col("b").alias("far"))
-              .unionByName(links.select(F.col("b").alias("cls"), F.col("a").alias("far")))
-              .join(sizes.withColumnRenamed("cls", "far"), "far")
-              .groupBy("cls").agg(F.sum("size").alias("others")))
+    degree = links.groupBy(F.col("a").alias("cls")).agg(F.sum("others").alias("others"))
     labels = components(links)
     named = (classes.select("cls", "id", "size").join(degree, "cls", "left")
              .join(labels.withColumnRenamed("node", "cls"), "cls", "left")
@@ -129,53 +131,77 @@ def _encode(width: int, bands: int, seed: int):
         for batch in batches:
             dims = batch.column("v").value_lengths().to_numpy()
             for d in np.unique(dims):
-                part = batch.filter(pa.array(dims == d))
+                whole = batch.filter(pa.array(dims == d))
                 if d not in turns:
                     turns = {**turns, d: rotations(int(d), bits, seed)}
-                turned = _unit(part.column("v")) @ turns[d].T
-                positive = turned >= 0
-                factor = np.abs(turned).sum(1) / math.sqrt(bits)
-                keys = positive.reshape(len(turned), bands, width) @ weights * 64 + d % 64
-                yield pa.RecordBatch.from_pydict({
-                    "cls": part.column("cls"),
-                    "code": pa.array([row.tobytes() for row in np.packbits(positive, axis=1)], pa.binary()),
-                    "factor": pa.array(factor), "v": part.column("v"),
-                    "keys": pa.array(list(keys), pa.list_(pa.int64()))})
+                rows = max(1, _TURNED // max(bits, int(d)))
+                for s in range(0, len(whole), rows):
+                    part = whole.slice(s, rows)
+                    turned = _unit(part.column("v")) @ turns[d].T
+                    positive = turned >= 0
+                    factor = np.abs(turned).sum(1) / math.sqrt(bits)
+                    keys = positive.reshape(len(turned), bands, width) @ weights * 64 + d % 64
+                    yield pa.RecordBatch.from_pydict({
+                        "cls": part.column("cls"),
+                        "code": pa.array([row.tobytes() for row in np.packbits(positive, axis=1)], pa.binary()),
+                        "factor": pa.array(factor), "v": part.column("v"),
+                        "keys": pa.array(list(keys), pa.list_(pa.int64()))})
 
     return kernel
 
 
+def _roots(linked: np.ndarray) -> np.ndarray:
+    """Of each row of a symmetric matrix of flags the first that it is connected with."""
+    root = np.full(len(linked), -1)
+    for first in range(len(linked)):
+        if root[first] >= 0:
+            continue
+        root[first], todo = first, [first]
+        while todo:
+            new = np.flatnonzero(linked[todo.pop()] & (root < 0))
+            root[new] = first
+            todo += new.tolist()
+    return root
+
+
 def _compare(threshold: float, width: int, bands: int, seed: int):
     bits = width * bands
 
-    def tile(names, own, lo, hi, band, codes, factors, units, turned) -> np.ndarray:
-        """Links between the two blocks of a tile (or inside its one block)."""
-        if lo == hi:
-            left = right = np.arange(len(names))
-        else:
-            left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
-        if not len(left) or not len(right):
-            return np.zeros((0, 2), np.int64)
-        signs = codes[left] * 2.0 - 1
-        estimate = signs @ turned[right].T / math.sqrt(bits) / factors[left][:, None]
-        f2 = np.minimum(factors[left] ** 2, 1)
+    def linked(a, b, band, keys, units) -> np.ndarray:
+        """Which pairs link and share no earlier band."""
+        out = np.zeros(len(a), bool)
+        for s in range(0, len(a), PAIRS):
+            i, j = a[s:s + PAIRS], b[s:s + PAIRS]
+            near = np.flatnonzero(~(keys[i, :band] == keys[j, :band]).any(1))
+            near = near[np.einsum("ij,ij->i", units[i[near]], units[j[near]]) >= threshold]
+            out[s + near] = True
+        return out
+
+    def tile(own, lo, hi, band, codes, keys, factors, units, turned) -> np.ndarray:
+        """A flag for each two vectors of a tile that link: of its two blocks, or inside its one block."""
+        flags = np.zeros((len(own), len(own)), bool)
+        left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+        f2 = np.minimum(factors ** 2, 1)
         slack = Z * np.sqrt((1 - f2) / (f2 * max(1, bits - 1))) + 1e-9
-        i, j = np.nonzero(estimate + slack[:, None] >= threshold)
-        keep = i < j if lo == hi else slice(None)
-        a, b = left[i[keep]], right[j[keep]]
-        if band:  # an earlier band has the pair
-            same = (codes[a, :band * width] == codes[b, :band * width]).reshape(len(a), band, width)
-            fresh = ~same.all(2).any(1)
-            a, b = a[fresh], b[fresh]
-        linked = np.einsum("ij,ij->i", units[a], units[b]) >= threshold
-        return np.stack([names[a[linked]], names[b[linked]]], axis=1)
+        rows = max(1, 8 * PAIRS // max(1, len(right)))
+        for s in range(0, len(left), rows):
+            part = left[s:s + rows]
+            estimate = (codes[part] * 2.0 - 1) @ turned[right].T / math.sqrt(bits) / factors[part][:, None]
+            i, j = np.nonzero(estimate + slack[part][:, None] >= threshold)
+            a, b = part[i], right[j]
+            if lo == hi:
+                a, b = a[a < b], b[a < b]
+            some = linked(a, b, band, keys, units)
+            flags[a[some], b[some]] = flags[b[some], a[some]] = True
+        return flags
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns: dict[int, np.ndarray] = {}
         keys = ["band", "bucket", "lo", "hi"]
+        weights = 1 << np.arange(width, dtype=np.int64)
         for table in runs(batches, keys):
             table = table.combine_chunks()
-            col = {k: table.column(k).to_numpy() for k in [*keys, "own", "cls", "factor"]}
+            col = {k: table.column(k).to_numpy() for k in [*keys, "own", "cls", "factor", "size"]}
             vectors, codes = table.column("v").combine_chunks(), table.column("code").to_pylist()
             dims = vectors.value_lengths().to_numpy()
             starts = group_starts([col[k] for k in keys])
@@ -189,11 +215,15 @@ def _compare(threshold: float, width: int, bands: int, seed: int):
                     units = _unit(vectors.take(pa.array(at)))
                     bit = np.stack([np.unpackbits(np.frombuffer(codes[i], np.uint8), count=bits)
                                     for i in at])
-                    found = tile(col["cls"][at], col["own"][at], col["lo"][a], col["hi"][a], int(col["band"][a]),
-                                 bit, col["factor"][at], units, units @ turns[d].T)
-                    if len(found):
+                    found = tile(col["own"][at], col["lo"][a], col["hi"][a], int(col["band"][a]), bit,
+                                 bit.reshape(len(at), bands, width) @ weights, col["factor"][at], units, units @ turns[d].T)
+                    some = np.flatnonzero(found.any(1))
+                    if len(some):
+                        names = col["cls"][at]
+                        others = [found[some[s:s + 64]] @ col["size"][at] for s in range(0, len(some), 64)]
                         yield pa.RecordBatch.from_pydict({
-                            "a": pa.array(found.min(1)), "b": pa.array(found.max(1))})
+                            "a": pa.array(names[some]), "b": pa.array(names[_roots(found)[some]]),
+                            "others": pa.array(np.concatenate(others))})
 
     return kernel
 

@@ -15,7 +15,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from oddsframe.llm import common, html_wrapper, language_id, ngram_join, passages, pii, words
+from oddsframe.llm import common, embedding_dedup, html_wrapper, language_id, ngram_join, passages, pii, words
 from oddsframe.llm.decontamination import hamming_blocks
 from oddsframe.llm.embedding_dedup import code_shape, rotations
 from oddsframe.llm.queries import MODEL_PATH
@@ -560,3 +560,32 @@ def test_sequences_of_one_document_stay_whatever_the_filter_holds():
     whole = {(4, 200 + p) for p in range(31)} | {(7, p) for p in range(31)}
     assert whole <= found and len(found) < len(whole) + 10
     assert len(pa.Table.from_batches(passages._held(full, full, 50)(iter([batch])))) == 431 + 31
+
+
+def test_large_groups_of_near_vectors_fit_in_memory():
+    rng, count, (width, bands) = np.random.default_rng(12), 1500, code_shape(600_000, 0.95)
+    vectors = rng.standard_normal(64) + 0.2 * rng.standard_normal((count, 64))
+    vectors[-1] = -vectors[0]
+    column = pa.array(list(vectors), pa.list_(pa.float64()))
+    batch = pa.RecordBatch.from_pydict({"cls": pa.array(np.arange(count)), "v": column})
+    codes = pa.Table.from_batches(embedding_dedup._encode(width, bands, 7)(iter([batch]))).drop(["keys"])
+    same = {c: pa.array(np.zeros(count, kind)) for c, kind in (
+        ("bucket", np.int64), ("own", np.int32), ("lo", np.int32), ("hi", np.int32))}
+    bits = np.stack([np.unpackbits(np.frombuffer(c.as_py(), np.uint8), count=width * bands) for c in codes.column("code")])
+    last = bits.reshape(count, bands, width)
+    fresh = np.array([~(last[i, :-1] == last[:, :-1]).all(2).any(1) for i in range(count)])
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    linked = fresh & (unit @ unit.T >= 0.95)
+    np.fill_diagonal(linked, False)
+    for size in (1, 3):
+        tile = pa.RecordBatch.from_pydict({
+            **same, "band": pa.array(np.full(count, bands - 1, np.int32)), "size": pa.array(np.full(count, size)),
+            **{c: codes.column(c).combine_chunks() for c in ("cls", "code", "factor", "v")}})
+        tracemalloc.start()
+        rows = pa.Table.from_batches(embedding_dedup._compare(0.95, width, bands, 7)(iter([tile])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert dict(zip(rows.column("a").to_pylist(), rows.column("others").to_pylist())) == {
+            i: int(n) * size for i, n in enumerate(linked.sum(1)) if n}
+        assert len(rows) < count and peak < 150e6
+    print("peak MB", peak / 1e6, "links", linked.sum() // 2)
